@@ -61,7 +61,8 @@ def present(df: DataFrame) -> DataFrame:
 
 # DuckDB forms of the same presentation.
 def d(expr: str, name: str) -> str:
-    return f"round(CAST({expr} AS DOUBLE), 4) AS {name}"
+    # Adding zero turns a rounded -0.0 into 0.0.
+    return f"round(CAST({expr} AS DOUBLE), 4) + CAST(0 AS DOUBLE) AS {name}"
 
 
 def i(expr: str, name: str) -> str:
