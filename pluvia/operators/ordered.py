@@ -84,33 +84,59 @@ def _preceding(blocks: DataFrame, keys: list[str], order: list[str], back: int)
     )
 
 
+def _join_blocks(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+    """Attach per-(key, block) values; null keys match. AQE broadcasts a small summary."""
+    renamed = summary.withColumnsRenamed({c: f"_s_{c}" for c in [*keys, BLOCK]})
+    on = F.col(BLOCK) == F.col(f"_s_{BLOCK}")
+    for c in keys:
+        on = on & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+    return rows.join(renamed, on, "left").drop(*[f"_s_{c}" for c in [*keys, BLOCK]])
+
+
+def _add_offset(
+    rows: DataFrame, blocks: DataFrame, keys: list[str], weight: Column, name: str
+) -> DataFrame:
+    """Turn a per-block running number into one per key: add the weight of earlier blocks."""
+    totals = blocks.groupBy(*keys, BLOCK).agg(F.sum(weight).alias("_weight"))
+    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_weight").over(earlier), F.lit(0))
+    joined = _join_blocks(rows, totals.withColumn("_offset", offset).drop("_weight"), keys)
+    return joined.withColumn(name, F.col(name) + F.col("_offset")).drop("_offset")
+
+
 def over_rows(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     back: int,
     make: Callable[[Window], dict[str, Column]],
+    position: str | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Add window columns that look at most ``back`` rows behind the current one."""
+    """Add window columns that look at most ``back`` rows behind the current one.
+
+    ``position`` names an optional column with the 0-based place of the row in its key.
+    """
     keys, order = list(keys), list(order)
     blocks = blocks_of(df, keys, order, rows_per_task)
     if blocks is None:
-        return df.withColumns(make(Window.partitionBy(*keys).orderBy(*order)))
+        window = Window.partitionBy(*keys).orderBy(*order)
+        columns = make(window)
+        if position:
+            columns[position] = F.row_number().over(window) - 1
+        return df.withColumns(columns)
     rows = blocks.withColumn("_home", F.lit(True)).unionByName(
         _preceding(blocks, keys, order, back).withColumn("_home", F.lit(False))
     )
     window = Window.partitionBy(*keys, BLOCK).orderBy(*order)
-    return rows.withColumns(make(window)).filter("_home").drop("_home", BLOCK)
-
-
-def _join_blocks(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach per-(key, block) values; null keys match. AQE broadcasts a small summary."""
-    renamed = summary.withColumnsRenamed({c: f"_s_{c}" for c in [*keys, BLOCK]})
-    on = F.col(BLOCK) == F.col(f"_s_{BLOCK}")
-    for c in keys:
-        on = on & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
-    return rows.join(renamed, on, "left").drop(*[f"_s_{c}" for c in [*keys, BLOCK]])
+    columns = make(window)
+    if position:
+        own = F.when(F.col("_home"), 1).otherwise(0)
+        columns[position] = F.sum(own).over(window.rowsBetween(Window.unboundedPreceding, 0)) - 1
+    result = rows.withColumns(columns).filter("_home").drop("_home")
+    if position:
+        result = _add_offset(result, blocks, keys, F.lit(1), position)
+    return result.drop(BLOCK)
 
 
 def running(
@@ -134,14 +160,8 @@ def running(
     blocks = blocks_of(df, keys, order, rows_per_task)
     if blocks is None:
         return df.withColumn(name, local(Window.partitionBy(*keys).orderBy(*order)))
-    totals = blocks.groupBy(*keys, BLOCK).agg(F.sum(w).alias("_weight"))
-    earlier = (
-        Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_weight").over(earlier), F.lit(0)))
     rows = blocks.withColumn(name, local(Window.partitionBy(*keys, BLOCK).orderBy(*order)))
-    joined = _join_blocks(rows, offsets.drop("_weight"), keys)
-    return joined.withColumn(name, F.col(name) + F.col("_offset")).drop("_offset", BLOCK)
+    return _add_offset(rows, blocks, keys, w, name).drop(BLOCK)
 
 
 def fill_next(
