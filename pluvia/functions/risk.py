@@ -19,6 +19,11 @@ def onset_flag(total: Column, driest: Column) -> Column:
     return F.coalesce((total >= ONSET_MM) & (driest > 0), F.lit(False))
 
 
+def round_mm(total: Column) -> Column:
+    """Two decimals, half up by the decimal value: 15.395 summed as 15.394999... is 15.40."""
+    return F.round(total + 1e-9, 2)
+
+
 def rule_signal(total: Column) -> Column:
     return F.when(total >= ONSET_MM, 1.0).otherwise(0.0)
 

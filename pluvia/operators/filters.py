@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def by_station(df: DataFrame, station: str, column: str = "county") -> DataFrame:
@@ -14,7 +15,12 @@ def by_station(df: DataFrame, station: str, column: str = "county") -> DataFrame
 
 
 def by_years(df: DataFrame, first: int, last: int, column: str = "year") -> DataFrame:
-    return df.filter(F.col(column).between(first, last))
+    """Years from ``first`` to ``last``; on a date or time column as bounds the scan can use."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return df.filter(F.col(column).between(first, last))
+    low, high = (F.make_date(F.lit(y), F.lit(1), F.lit(1)).cast(kind) for y in (first, last + 1))
+    return df.filter((F.col(column) >= low) & (F.col(column) < high))
 
 
 def trailing_days(df: DataFrame, column: str, now: str, days: int) -> DataFrame:
@@ -23,7 +29,7 @@ def trailing_days(df: DataFrame, column: str, now: str, days: int) -> DataFrame:
     The bound is on the raw column, so it reaches the scan.
     """
     start = F.date_sub(F.to_date(F.lit(now)), days)
-    return df.filter(F.col(column) >= start.cast("timestamp"))
+    return df.filter(F.col(column) >= start.cast(df.schema[column].dataType))
 
 
 def trailing_from_latest(df: DataFrame, column: str, days: int) -> DataFrame:

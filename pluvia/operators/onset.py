@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvia.functions.risk import round_mm
 from pluvia.operators.ordered import ROWS_PER_TASK, over_rows
 from pluvia.schemas import DRY_LOOKAHEAD_HOURS, ONSET_HOURS, ONSET_MM
 
@@ -40,7 +41,7 @@ def onset_by_rows(
     hit = (F.col("cum_72hr_mm") >= threshold) & (F.col("_dry") == 0)
     return runs.filter((F.col("window_end") >= rows - 1) & hit).select(
         "county",
-        F.round("cum_72hr_mm", 2).alias("cum_72hr_mm"),
+        round_mm(F.col("cum_72hr_mm")).alias("cum_72hr_mm"),
         F.lit(True).alias("onset_flag"),
         (F.col("window_end") - (rows - 1)).alias("window_start"),
         "window_end",
@@ -77,7 +78,8 @@ def onset_trailing(
             {"cum_72hr_mm": F.sum("rain").over(wet), "zero_hours_48": F.sum(zero).over(recent)}
         )
         .withColumn(
-            "onset_flag", (F.col("cum_72hr_mm") >= threshold) & (F.col("zero_hours_48") == 0)
+            "onset_flag",
+            F.coalesce((F.col("cum_72hr_mm") >= threshold) & (F.col("zero_hours_48") == 0), F.lit(False)),
         )
         .drop("_s")
     )

@@ -44,9 +44,9 @@ def time_gaps(df: DataFrame, key: str, time: str, hours: int) -> DataFrame:
     )
     series = Window.partitionBy(key).orderBy("_hour")
     gaps = per_hour.withColumn("gap_start", F.lag("_last").over(series))
-    seconds = F.unix_micros("_first") - F.unix_micros("gap_start")
-    return gaps.filter(seconds > hours * 3_600_000_000).select(
-        key, "gap_start", F.col("_first").alias("gap_end"), (seconds / 3.6e9).alias("gap_hours")
+    micros = F.unix_micros("_first") - F.unix_micros("gap_start")
+    return gaps.filter(micros > hours * 3_600_000_000).select(
+        key, "gap_start", F.col("_first").alias("gap_end"), (micros / 3.6e9).alias("gap_hours")
     )
 
 
@@ -81,7 +81,7 @@ def sustained_breaches(
     """
     over = percentiles.filter(F.col("p95") > threshold)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy("minute"))
-    island = (F.unix_seconds("minute") / step_seconds).cast("bigint") - rank
+    island = (F.unix_seconds(F.col("minute").cast("timestamp")) / step_seconds).cast("bigint") - rank
     return (
         over.withColumn("_island", island)
         .groupBy(*keys, "_island")

@@ -13,6 +13,9 @@ from pluvia.plans.tables import Tables
 
 DAY_FORMAT = "yyyy-MM-dd"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Sums differ in their last bits with the order of addition. The nudge keeps values that
+# lie exactly between two decimals (12.34565) from rounding either way.
+NUDGE = 1e-8
 
 
 @dataclass(frozen=True)
@@ -50,7 +53,7 @@ def present(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), 4)
+            c = F.round(c.cast("double") + NUDGE, 4)
         elif isinstance(field.dataType, T.DateType):
             c = F.date_format(c, DAY_FORMAT)
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
@@ -62,7 +65,7 @@ def present(df: DataFrame) -> DataFrame:
 # DuckDB forms of the same presentation.
 def d(expr: str, name: str) -> str:
     # Adding zero turns a rounded -0.0 into 0.0.
-    return f"round(CAST({expr} AS DOUBLE), 4) + CAST(0 AS DOUBLE) AS {name}"
+    return f"round(CAST({expr} AS DOUBLE) + {NUDGE!r}, 4) + CAST(0 AS DOUBLE) AS {name}"
 
 
 def i(expr: str, name: str) -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvia.schemas import COUNTIES, COUNTY_NAMES
+from pluvia.session import state_session
 
 DAY_MICROS = 86_400_000_000
 # "Now" for trailing filters over the order history; a parameter, never the clock.
@@ -52,7 +53,8 @@ class Tables:
     def event_stream(self) -> DataFrame:
         """The same readings as a file stream."""
         events = (
-            self.spark.readStream.schema(self.raw("events").schema)
+            state_session(self.spark)
+            .readStream.schema(self.raw("events").schema)
             .option("pathGlobFilter", "events.parquet")
             .parquet(self.folder)
         )
@@ -89,7 +91,7 @@ class Tables:
         cum = F.col("o_totalprice") / 10000
         return self.raw("orders").select(
             F.col("o_orderkey").alias("observation_id"),
-            F.col("o_orderdate").cast("timestamp").alias("observation_date"),
+            F.col("o_orderdate").alias("observation_date"),
             _county("o_custkey").alias("county"),
             cum.alias("cum_72hr_mm"),
             (cum >= 20).alias("onset_flag"),

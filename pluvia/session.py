@@ -46,3 +46,18 @@ def shared_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     return f"{shared_root(spark)}/pluvia/{label}-{uuid.uuid4().hex}"
+
+
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session for stateful streams, whose shuffle is not resized by AQE.
+
+    Every state partition is a task in every micro-batch, so the untouched default of
+    200 is replaced by the cores at hand; a value the user chose stays.
+    """
+    session = spark.newSession()
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    if partitions == "200":
+        partitions = str(spark.sparkContext.defaultParallelism)
+    session.conf.set("spark.sql.shuffle.partitions", partitions)
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    return session

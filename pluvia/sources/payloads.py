@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pluvia.functions.risk import round_mm
 from pluvia.schemas import DAILY, HOURLY, NEUTRAL_PRESSURE_HPA, ONSET_HOURS, ONSET_MM
 
 # Reading name of each hourly field.
@@ -124,7 +125,7 @@ def forecast_onset(payloads: DataFrame) -> DataFrame:
     return payloads.select(
         *keep,
         F.when(enough, "ok").otherwise("insufficient_data").alias("onset_signal"),
-        F.when(enough, F.round(total, 2)).alias("cum_precipitation_72hr_mm"),
+        F.when(enough, round_mm(total)).alias("cum_precipitation_72hr_mm"),
         F.when(enough, dry).alias("dry_spell_detected"),
         F.when(enough, (total >= ONSET_MM) & ~dry).alias("onset_flag"),
         F.when(enough, F.try_element_at(times, F.lit(1))).alias("onset_window_start"),
