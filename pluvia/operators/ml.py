@@ -40,9 +40,7 @@ def feature_vector(df: DataFrame) -> DataFrame:
 
 def _placed(df: DataFrame, keys: list[str], order: Sequence[str], rows_per_task: int) -> DataFrame:
     """Rows with their position ``_pos`` in the series and its length ``_n``."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    rows = running(df, keys, order, name="_pos", rows_per_task=rows_per_task)
-    return join_checked(rows, sizes, keys)
+    return running(df, keys, order, name="_pos", total="_n", rows_per_task=rows_per_task)
 
 
 def chrono_split(

@@ -9,6 +9,8 @@ from pluvia.functions.risk import round_mm
 from pluvia.operators.ordered import ROWS_PER_TASK, over_rows
 from pluvia.schemas import DRY_LOOKAHEAD_HOURS, ONSET_HOURS, ONSET_MM
 
+NANOMETRES = 1_000_000  # per mm
+
 
 def onset_by_rows(
     readings: DataFrame,
@@ -19,29 +21,35 @@ def onset_by_rows(
     """Every run of 72 consecutive readings with enough rain and no dry reading.
 
     Null rain counts as zero, hence as dry. Indexes are 0-based within the county.
+    Rain is added as whole nanometres: the sum, and so the comparison with the
+    threshold, does not depend on the order of addition.
     """
     rain = F.coalesce("precipitation", F.lit(0.0))
+    exact = F.round(rain * NANOMETRES).cast("bigint")
 
-    def columns(w: Window) -> dict:
-        frame = w.rowsBetween(-(rows - 1), 0)
-        return {
-            "cum_72hr_mm": F.sum(rain).over(frame),
-            "_dry": F.sum(F.when(rain == 0, 1).otherwise(0)).over(frame),
-        }
+    def columns(w: Window) -> list[dict]:
+        # Running sums and their difference over the run: two steps per row, not 72.
+        so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+        dry = F.when(rain == 0, 1).otherwise(0)
+        sums = {"_rain": F.sum(exact).over(so_far), "_dry": F.sum(dry).over(so_far)}
+        return [
+            sums,
+            {c: F.col(c) - F.coalesce(F.lag(c, rows).over(w), F.lit(0)) for c in sums},
+        ]
 
     runs = over_rows(
-        readings,
+        readings.select("county", "event_time", "reading_id", "precipitation"),
         ["county"],
         ["event_time", "reading_id"],
-        rows - 1,
+        rows,
         columns,
         position="window_end",
         rows_per_task=rows_per_task,
     )
-    hit = (F.col("cum_72hr_mm") >= threshold) & (F.col("_dry") == 0)
+    hit = (F.col("_rain") >= round(threshold * NANOMETRES)) & (F.col("_dry") == 0)
     return runs.filter((F.col("window_end") >= rows - 1) & hit).select(
         "county",
-        round_mm(F.col("cum_72hr_mm")).alias("cum_72hr_mm"),
+        round_mm(F.col("_rain") / NANOMETRES).alias("cum_72hr_mm"),
         F.lit(True).alias("onset_flag"),
         (F.col("window_end") - (rows - 1)).alias("window_start"),
         "window_end",

@@ -94,13 +94,21 @@ def _join_blocks(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFr
 
 
 def _add_offset(
-    rows: DataFrame, blocks: DataFrame, keys: list[str], weight: Column, name: str
+    rows: DataFrame,
+    blocks: DataFrame,
+    keys: list[str],
+    weight: Column,
+    name: str,
+    total: str | None = None,
 ) -> DataFrame:
     """Turn a per-block running number into one per key: add the weight of earlier blocks."""
-    totals = blocks.groupBy(*keys, BLOCK).agg(F.sum(weight).alias("_weight"))
-    earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("_weight").over(earlier), F.lit(0))
-    joined = _join_blocks(rows, totals.withColumn("_offset", offset).drop("_weight"), keys)
+    sums = blocks.groupBy(*keys, BLOCK).agg(F.sum(weight).alias("_weight"))
+    key = Window.partitionBy(*keys)
+    earlier = key.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    columns = {"_offset": F.coalesce(F.sum("_weight").over(earlier), F.lit(0))}
+    if total:
+        columns[total] = F.sum("_weight").over(key)
+    joined = _join_blocks(rows, sums.withColumns(columns).drop("_weight"), keys)
     return joined.withColumn(name, F.col(name) + F.col("_offset")).drop("_offset")
 
 
@@ -109,31 +117,33 @@ def over_rows(
     keys: Sequence[str],
     order: Sequence[str],
     back: int,
-    make: Callable[[Window], dict[str, Column]],
+    make: Callable[[Window], list[dict[str, Column]]],
     position: str | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add window columns that look at most ``back`` rows behind the current one.
 
-    ``position`` names an optional column with the 0-based place of the row in its key.
+    ``make`` gives the columns in steps; a step may use those before it. ``position``
+    names an optional column with the 0-based place of the row in its key.
     """
     keys, order = list(keys), list(order)
     blocks = blocks_of(df, keys, order, rows_per_task)
     if blocks is None:
         window = Window.partitionBy(*keys).orderBy(*order)
-        columns = make(window)
-        if position:
-            columns[position] = F.row_number().over(window) - 1
-        return df.withColumns(columns)
+        for columns in make(window):
+            df = df.withColumns(columns)
+        return df.withColumn(position, F.row_number().over(window) - 1) if position else df
     rows = blocks.withColumn("_home", F.lit(True)).unionByName(
         _preceding(blocks, keys, order, back).withColumn("_home", F.lit(False))
     )
     window = Window.partitionBy(*keys, BLOCK).orderBy(*order)
-    columns = make(window)
+    for columns in make(window):
+        rows = rows.withColumns(columns)
     if position:
         own = F.when(F.col("_home"), 1).otherwise(0)
-        columns[position] = F.sum(own).over(window.rowsBetween(Window.unboundedPreceding, 0)) - 1
-    result = rows.withColumns(columns).filter("_home").drop("_home")
+        place = F.sum(own).over(window.rowsBetween(Window.unboundedPreceding, 0)) - 1
+        rows = rows.withColumn(position, place)
+    result = rows.filter("_home").drop("_home")
     if position:
         result = _add_offset(result, blocks, keys, F.lit(1), position)
     return result.drop(BLOCK)
@@ -145,11 +155,13 @@ def running(
     order: Sequence[str],
     weight: str | None = None,
     name: str = "before",
+    total: str | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add the summed weight of the rows of the key that come earlier (exclusive).
 
-    Without a weight this is the 0-based position of the row within its key.
+    Without a weight this is the 0-based position of the row within its key. ``total``
+    names an optional column with the summed weight of the whole key.
     """
     keys, order = list(keys), list(order)
     w = F.col(weight) if weight else F.lit(1).cast("bigint")
@@ -159,9 +171,13 @@ def running(
 
     blocks = blocks_of(df, keys, order, rows_per_task)
     if blocks is None:
-        return df.withColumn(name, local(Window.partitionBy(*keys).orderBy(*order)))
+        key = Window.partitionBy(*keys)
+        columns = {name: local(key.orderBy(*order))}
+        if total:
+            columns[total] = F.sum(w).over(key)
+        return df.withColumns(columns)
     rows = blocks.withColumn(name, local(Window.partitionBy(*keys, BLOCK).orderBy(*order)))
-    return _add_offset(rows, blocks, keys, w, name).drop(BLOCK)
+    return _add_offset(rows, blocks, keys, w, name, total).drop(BLOCK)
 
 
 def fill_next(
@@ -232,11 +248,7 @@ def quantiles(
         .groupBy(*keys, F.col(value).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_count"))
     )
-    placed = running(counts, keys, ["_value"], "_count", "_before", rows_per_task)
-    totals = counts.groupBy(*keys).agg(F.sum("_count").alias("_n"))
-    totals = totals.withColumnsRenamed({k: f"_t_{k}" for k in keys})
-    on = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]
-    rows = placed.join(totals, on).drop(*[f"_t_{k}" for k in keys])
+    rows = running(counts, keys, ["_value"], "_count", "_before", "_n", rows_per_task)
 
     def value_at(rank: Column) -> Column:
         inside = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_count"))

@@ -12,7 +12,7 @@ from pluvia.operators.filters import select_existing
 from pluvia.operators.ordered import ROWS_PER_TASK, over_rows, running
 from pluvia.schemas import FEATURES
 
-CLIMATE_ORDER = ("date", "id1", "id2", "id3", "id4")
+CLIMATE_ORDER = ("date", "id1", "id2", "id3", "id4", "temperature_c")
 # Row lags of the model features (named after six-hourly data).
 ROW_LAGS = {"temp_lag_6h": 1, "temp_lag_24h": 4}
 
@@ -31,7 +31,7 @@ def row_lags(
         keys,
         order,
         max(lags.values()),
-        lambda w: {name: F.lag(value, n).over(w) for name, n in lags.items()},
+        lambda w: [{name: F.lag(value, n).over(w) for name, n in lags.items()}],
         rows_per_task=rows_per_task,
     )
 
@@ -51,7 +51,7 @@ def rolling_mean(
         keys,
         order,
         rows - 1,
-        lambda w: {name: F.avg(value).over(w.rowsBetween(-(rows - 1), 0))},
+        lambda w: [{name: F.avg(value).over(w.rowsBetween(-(rows - 1), 0))}],
         rows_per_task=rows_per_task,
     )
 
@@ -79,10 +79,12 @@ def climate_features(
         ["lat", "lon"],
         CLIMATE_ORDER,
         12,
-        lambda w: {
-            "temp_12mo_rolling": F.avg("temperature_c").over(w.rowsBetween(-11, 0)),
-            "onset_month_lag": F.lag("onset", 12).over(w),
-        },
+        lambda w: [
+            {
+                "temp_12mo_rolling": F.avg("temperature_c").over(w.rowsBetween(-11, 0)),
+                "onset_month_lag": F.lag("onset", 12).over(w),
+            }
+        ],
         rows_per_task=rows_per_task,
     )
     month = F.month("date")

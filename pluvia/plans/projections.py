@@ -176,7 +176,7 @@ def vector(t):
     )
 
 
-CLIMATE_WINDOW = "PARTITION BY lat, lon ORDER BY date, id1, id2, id3, id4"
+CLIMATE_WINDOW = "PARTITION BY lat, lon ORDER BY date, id1, id2, id3, id4, temperature_c"
 FEATURES_SQL = f"""SELECT {d("lat", "lat")}, {d("lon", "lon")}, {i(REGION_CODE_SQL, "region_encoded")},
   {i("year(date)", "year")}, {i("month(date)", "month")}, {SEASON_FLAGS_SQL},
   {d(f"avg(temperature_c) OVER ({CLIMATE_WINDOW} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)", "temp_12mo_rolling")},

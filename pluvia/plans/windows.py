@@ -97,11 +97,11 @@ def onset_month_lag(t):
 # The stand-in readings never reach 20 mm within 72 rows, hence the lower threshold.
 ROWS72_MM = 14.0
 ROWS72_SQL = sql(
-    f"""SELECT county, {d("round(s + 1e-9, 2)", "cum_72hr_mm")}, true AS onset_flag, {i("k - 72", "window_start")}, {i("k - 1", "window_end")}
-    FROM (SELECT county, sum(precipitation) OVER f AS s, count(*) FILTER (precipitation = 0) OVER f AS z,
+    f"""SELECT county, {d("round(s / 1e6 + 1e-9, 2)", "cum_72hr_mm")}, true AS onset_flag, {i("k - 72", "window_start")}, {i("k - 1", "window_end")}
+    FROM (SELECT county, sum(CAST(round(precipitation * 1000000) AS BIGINT)) OVER f AS s, count(*) FILTER (precipitation = 0) OVER f AS z,
             row_number() OVER (PARTITION BY county ORDER BY event_time, reading_id) AS k
           FROM readings WINDOW f AS (PARTITION BY county ORDER BY event_time, reading_id ROWS BETWEEN 71 PRECEDING AND CURRENT ROW))
-    WHERE k >= 72 AND s >= {ROWS72_MM} AND z = 0""",
+    WHERE k >= 72 AND s >= {ROWS72_MM} * 1000000 AND z = 0""",
     "readings",
 )
 
@@ -213,7 +213,7 @@ def backfill_split(t):
     "win_latest_per_location",
     sql(
         f"""SELECT {d("lat", "lat")}, {d("lon", "lon")}, strftime(date, '%Y-%m-%d') AS date, id1, {d("temperature_c", "temperature_c")}
-        FROM (SELECT *, row_number() OVER (PARTITION BY lat, lon ORDER BY date DESC, id1 DESC, id2 DESC, id3 DESC, id4 DESC) AS k FROM climate)
+        FROM (SELECT *, row_number() OVER (PARTITION BY lat, lon ORDER BY date DESC, id1 DESC, id2 DESC, id3 DESC, id4 DESC, temperature_c DESC) AS k FROM climate)
         WHERE k = 1""",
         "climate",
     ),
