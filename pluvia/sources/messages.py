@@ -9,11 +9,14 @@ from pyspark.sql import types as T
 from pluvia.schemas import MESSAGE, MESSAGE_V0
 
 _ZONED = r"(Z|[+-]\d{2}:?\d{2})$"
+_MINUTE_ZONED = r"(T\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})$"
 
 
 def event_time(text: Column, source_tz: str = "UTC") -> Column:
     """ISO text to an instant, null if unparseable; ``source_tz`` is for texts without a zone."""
-    parsed = text.try_cast("timestamp")
+    # Spark reads a zone only after seconds; texts that end at the minute get ":00".
+    padded = F.regexp_replace(text, _MINUTE_ZONED, "$1:00$2")
+    parsed = F.coalesce(text.try_cast("timestamp"), padded.try_cast("timestamp"))
     if source_tz == "UTC":
         return parsed
     return F.when(text.rlike(_ZONED), parsed).otherwise(F.to_utc_timestamp(parsed, source_tz))
