@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pluvia.functions.weather import region_code, season_flags
 from pluvia.operators.filters import select_existing
+from pluvia.operators.joins import join_checked
 from pluvia.operators.ordered import ROWS_PER_TASK, over_rows, running
 from pluvia.schemas import FEATURES
 
@@ -108,7 +109,7 @@ def category_codes(df: DataFrame, column: str, rows_per_task: int = ROWS_PER_TAS
 
 def with_category_code(df: DataFrame, codes: DataFrame, column: str, name: str) -> DataFrame:
     """Attach codes; an unknown value gets zero."""
-    joined = df.join(codes.withColumnRenamed("code", name), column, "left")
+    joined = join_checked(df, codes.withColumnRenamed("code", name), [column], "left")
     return joined.withColumn(name, F.coalesce(name, F.lit(0)))
 
 

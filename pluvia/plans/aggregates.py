@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pluvia.functions.weather import region_code
 from pluvia.operators import aggregates as a
+from pluvia.operators.joins import join_checked
 from pluvia.operators.sketch import Sketch, builtin_sketch
 from pluvia.plans import common
 from pluvia.plans.projections import REGION_CODE_SQL
@@ -170,7 +171,7 @@ def error_metrics(t):
 def residual_hist(t):
     rows = t.readings()
     means = rows.groupBy("county").agg(F.avg("precipitation").alias("m"))
-    residuals = rows.join(F.broadcast(means), "county").select(
+    residuals = join_checked(rows, means, ["county"]).select(
         (F.col("precipitation") - F.col("m")).alias("residual")
     )
     return a.histogram(residuals, "residual", 30)

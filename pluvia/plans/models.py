@@ -106,6 +106,24 @@ def batch_score(t):
     return ml.score(ml.load_model(path), rows).select("reading_id", "county", "y", "yhat")
 
 
+@query(
+    "ml_model_store",
+    sql(
+        f"""SELECT {i("0", "differing")}, {i("count(*)", "rows")} FROM
+        (SELECT lag(y, 4) OVER (PARTITION BY county ORDER BY ds, reading_id) AS lag4 FROM enriched) WHERE lag4 IS NOT NULL""",
+        "enriched",
+    ),
+)
+def model_store(t):
+    """A stored and reloaded model gives the same predictions on every row."""
+    rows, path = training_rows(t), new_folder(t.spark, "model")
+    model = ml.fit_boosted(rows, trees=TREES)
+    ml.save_model(model, path)
+    fitted = ml.score(model, rows).withColumnRenamed("yhat", "before")
+    both = ml.load_model(path).transform(fitted)
+    return both.agg(F.count_if(F.col("before") != F.col("yhat")).alias("differing"), F.count(F.lit(1)).alias("rows"))
+
+
 @query("ml_model_compare")
 def model_compare(t):
     """Both models against the last 14 days: errors per county."""

@@ -16,7 +16,6 @@ from pluvia.plans.tables import sql
 from pluvia.schemas import SNAPSHOT
 from pluvia.session import new_folder
 from pluvia.sinks import writers
-from pluvia.sources.payloads import forecast_onset
 from pluvia.streaming import windows
 from pluvia.streaming.jobs import OnsetSink, run_together, to_files, to_onset_sink
 
@@ -202,7 +201,7 @@ def ctas_enriched(t):
 )
 def raw_archive(t):
     payloads, path = common.week_payloads(t), new_folder(t.spark, "archive")
-    writers.archive_raw(payloads, forecast_onset(payloads), path, "forecast", F.lit(NOW).cast("timestamp"))
+    writers.archive_raw(payloads, path, "forecast", F.lit(NOW).cast("timestamp"))
     schema = (
         "payload_id bigint, hourly struct<time: array<string>>, onset_signal string, "
         "_meta struct<county: string, fetched_at: string, source: string>, county string, date date"

@@ -8,7 +8,7 @@ from pluvia.plans import common
 from pluvia.plans.registry import d, i, query, ts
 from pluvia.plans.sinks import TUMBLING_3H, TUMBLING_COLUMNS, closed, drain_to_files
 from pluvia.plans.tables import sql
-from pluvia.session import new_folder
+from pluvia.session import new_folder, state_session
 from pluvia.streaming import windows
 from pluvia.streaming.jobs import run_together, to_files
 
@@ -178,3 +178,26 @@ def concurrent(t):
         )
         report = part if report is None else report.unionByName(part)
     return report
+
+
+LATE = "reading_id % 50 = 0 AND event_time < TIMESTAMP '2024-01-10'"
+
+
+@query(
+    "stream_late_data",
+    sql(
+        f"SELECT {TUMBLING_COLUMNS} FROM w WHERE {closed('30 minutes')}",
+        "readings",
+        w=TUMBLING_3H.replace("FROM readings", f"FROM readings WHERE NOT ({LATE})"),
+    ),
+)
+def late_data(t):
+    """Some early readings arrive after all others: the watermark has passed, they are dropped."""
+    feed, out, checkpoint = (new_folder(t.spark, x) for x in ("feed", "stream", "checkpoint"))
+    late = F.expr(LATE)
+    for part in (t.readings().filter(~late), t.readings().filter(late)):
+        part.write.mode("append").parquet(feed)
+        events = state_session(t.spark).readStream.schema(part.schema).parquet(feed)
+        df = windows.tumbling_3h(events)
+        run_together([to_files(df, out, checkpoint, trigger=None)])
+    return t.spark.read.schema(df.schema).parquet(out)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvia.schemas import SNAPSHOT, SNAPSHOT_TTL_DAYS
+from pluvia.sources.payloads import forecast_onset
 
 TABLE_BATCH = 5000
 
@@ -52,11 +53,17 @@ def publish_alerts(alerts: DataFrame, brokers: str, topic: str = "onset-alerts")
     ).save()
 
 
-def archive_raw(payloads: DataFrame, signals: DataFrame, path: str, source: str, fetched: Column) -> None:
-    """Land raw payloads with a ``_meta`` struct and their signals, by county and date."""
-    meta = F.struct("county", F.date_format(fetched, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("fetched_at"), F.lit(source).alias("source"))
-    rows = payloads.join(signals, ["county", "payload_id"]).withColumn("_meta", meta)
-    rows.withColumn("date", F.to_date(fetched)).write.mode("append").partitionBy("county", "date").json(path)
+def archive_raw(payloads: DataFrame, path: str, source: str, fetched: Column) -> None:
+    """Land raw payloads by county and date, with a ``_meta`` struct and their onset signals."""
+    meta = F.struct(
+        "county",
+        F.date_format(fetched, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("fetched_at"),
+        F.lit(source).alias("source"),
+    )
+    rows = forecast_onset(payloads, keep_payload=True)
+    rows.withColumns({"_meta": meta, "date": F.to_date(fetched)}).write.mode("append").partitionBy(
+        "county", "date"
+    ).json(path)
 
 
 def upsert_latest(previous: DataFrame, alerts: DataFrame, now: Column) -> DataFrame:

@@ -111,12 +111,12 @@ def trailing_snapshot(payloads: DataFrame) -> DataFrame:
     )
 
 
-def forecast_onset(payloads: DataFrame) -> DataFrame:
+def forecast_onset(payloads: DataFrame, keep_payload: bool = False) -> DataFrame:
     """Onset signal of a forecast: the first 72 hours, then any dry hour up to hour 168.
 
     Shorter forecasts get ``insufficient_data`` and null signals. Null rain is not counted.
     """
-    keep = [c for c in payloads.columns if c != "hourly"]
+    keep = [c for c in payloads.columns if keep_payload or c != "hourly"]
     rain, times = F.col("hourly.precipitation"), F.col("hourly.time")
     enough = F.size(rain) >= ONSET_HOURS
     total = _total(F.slice(rain, 1, ONSET_HOURS))
