@@ -94,11 +94,16 @@ def latency_summary(
     samples: DataFrame, key: str, value: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Mean and nearest-rank 99th percentile per group."""
-    means = samples.groupBy(key).agg(F.count(value).alias("scale"), F.avg(value).alias("avg_latency_ms"))
-    peaks = quantiles(
-        samples, [key], value, {"peak_latency_ms": 0.99}, nearest_rank=True, rows_per_task=rows_per_task
+    return quantiles(
+        samples,
+        [key],
+        value,
+        {"peak_latency_ms": 0.99},
+        nearest_rank=True,
+        rows_per_task=rows_per_task,
+        count="scale",
+        mean="avg_latency_ms",
     )
-    return means.join(peaks, key)
 
 
 def latency_summary_approx(samples: DataFrame, key: str, value: str) -> DataFrame:

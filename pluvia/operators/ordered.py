@@ -242,11 +242,14 @@ def quantiles(
     probabilities: dict[str, float],
     nearest_rank: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
+    count: str | None = None,
+    mean: str | None = None,
 ) -> DataFrame:
     """Exact quantiles per key from counts of distinct values.
 
     Equal values are counted map-side first, so a busy value is one row. Interpolated
     by default; ``nearest_rank`` takes the element at ``min(int(p * n), n - 1)``.
+    ``count`` and ``mean`` name optional columns that come from the same counts.
     """
     keys = list(keys)
     counts = (
@@ -275,4 +278,8 @@ def quantiles(
         low, high = value_at(F.floor(h)), value_at(F.ceil(h))
         share = F.max(h - F.floor(h))
         picked.append((low + (high - low) * share).alias(name))
+    if count:
+        picked.append(F.sum("_count").alias(count))
+    if mean:
+        picked.append((F.sum(F.col("_value") * F.col("_count")) / F.sum("_count")).alias(mean))
     return rows.groupBy(*keys).agg(*picked)

@@ -65,11 +65,10 @@ def latency_percentiles(
         F.window(time, "1 minute").start.alias("minute"), F.col(endpoint).alias("endpoint"), value
     )
     ranks = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
-    exact = quantiles(minute, ["minute", "endpoint"], value, ranks, rows_per_task=rows_per_task)
-    counts = minute.groupBy("minute", "endpoint").agg(
-        F.count(value).alias("events"), (F.count(value) / 60.0).alias("events_per_second")
+    exact = quantiles(
+        minute, ["minute", "endpoint"], value, ranks, rows_per_task=rows_per_task, count="events"
     )
-    return counts.join(exact, ["minute", "endpoint"])
+    return exact.withColumn("events_per_second", F.col("events") / 60.0)
 
 
 def sustained_breaches(

@@ -12,7 +12,7 @@ import math
 import random
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BROADCAST_CELLS = 1_000_000
@@ -77,22 +77,24 @@ class Sketch:
             first = first.unionByName(other)
         return first.groupBy("row_id", "col_id").agg(F.sum("cnt").alias("cnt"))
 
-    def query(self, cells: DataFrame, candidates: DataFrame, key: str = "key") -> DataFrame:
-        """Estimate per distinct candidate: the smallest of its cells, zero if one is empty."""
+    def _estimate(self, cells: DataFrame, wanted: DataFrame) -> DataFrame:
+        """Each row of ``wanted`` (with a ``key``) and the smallest of its key's cells."""
         # A sketch has at most depth * width cells, known before any data is read.
         small = self.depth * self.width <= BROADCAST_CELLS
         table = F.broadcast(cells) if small else cells
-        wanted = candidates.select(F.col(key).alias("key")).distinct()
-        return (
-            wanted.select("key", F.inline(self.cells_of(F.col("key"))))
-            .join(table, ["row_id", "col_id"], "left")
-            .groupBy("key")
-            .agg(F.min(F.coalesce("cnt", F.lit(0))).alias("estimate"))
-        )
+        looked_up = wanted.select("*", F.inline(self.cells_of(F.col("key"))))
+        joined = looked_up.join(table, ["row_id", "col_id"], "left")
+        least = F.min(F.coalesce("cnt", F.lit(0))).alias("estimate")
+        extra = [F.max(c).alias(c) for c in cells.columns if c not in ("row_id", "col_id", "cnt")]
+        return joined.groupBy(*wanted.columns).agg(least, *extra)
+
+    def query(self, cells: DataFrame, candidates: DataFrame, key: str = "key") -> DataFrame:
+        """Estimate per distinct candidate: the smallest of its cells, zero if one is empty."""
+        return self._estimate(cells, candidates.select(F.col(key).alias("key")).distinct())
 
     def top_k(self, cells: DataFrame, candidates: DataFrame, k: int = 5) -> DataFrame:
         """The k candidates (key, pos) with the highest estimates; ties keep candidate order."""
-        ranked = self.query(cells, candidates).join(candidates, "key")
+        ranked = self._estimate(cells, candidates.select("key", "pos"))
         return ranked.orderBy(F.col("estimate").desc(), "pos").limit(k)
 
     def total(self, cells: DataFrame) -> DataFrame:
@@ -101,14 +103,14 @@ class Sketch:
 
     def error_report(self, cells: DataFrame, exact: DataFrame) -> DataFrame:
         """Overcount of every key of ``exact`` (key, true_count) against the error budget."""
-        total = self.total(cells).scalar()
+        # Every row of the sketch adds up to the total, so each cell can carry it along.
+        with_total = cells.withColumn("total", F.sum("cnt").over(Window.partitionBy("row_id")))
         over = F.col("estimate") - F.col("true_count")
+        budget = F.coalesce(F.col("epsilon") * F.col("total"), F.lit(0.0))
         return (
-            self.query(cells, exact)
-            .join(exact, "key")
-            .withColumn("total", total)
+            self._estimate(with_total, exact.select("key", "true_count"))
             .withColumns({"overcount": over, "epsilon": F.lit(self.epsilon), "delta": F.lit(self.delta)})
-            .withColumn("within_budget", F.col("overcount") <= F.col("epsilon") * F.col("total"))
+            .withColumn("within_budget", F.col("overcount") <= budget)
         )
 
 

@@ -12,7 +12,7 @@ from pluvia.plans import common
 from pluvia.plans.projections import REGION_CODE_SQL
 from pluvia.plans.registry import d, day, i, query, ts
 from pluvia.plans.tables import HISTORY_NOW, sql
-from pluvia.schemas import COUNTY_NAMES
+from pluvia.schemas import COUNTY_NAMES, county_dim
 from pluvia.sources.payloads import daily_rows, hourly_rows
 
 
@@ -353,7 +353,7 @@ def cms_query(t):
 )
 def cms_topk(t):
     cells = DEFAULT.build(t.readings(), "county")
-    candidates = t.spark.createDataFrame([(n, p) for p, n in enumerate(COUNTY_NAMES)], "key string, pos int")
+    candidates = county_dim(t.spark).select(F.col("county").alias("key"), "pos")
     return DEFAULT.top_k(cells, candidates, 5).select("key", "estimate")
 
 

@@ -142,4 +142,4 @@ FROM readings GROUP BY ALL"""
 
 
 def counties(t: Tables) -> DataFrame:
-    return county_dim(t.spark)
+    return county_dim(t.spark).drop("pos")
