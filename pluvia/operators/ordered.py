@@ -61,31 +61,33 @@ def _desc(order: Sequence[str]) -> list[Column]:
 def _preceding(blocks: DataFrame, keys: list[str], order: list[str], back: int) -> DataFrame:
     """For every block of a key, the ``back`` rows of that key just before the block.
 
-    Only the last ``back`` rows and the first row of each block are looked at, so the
-    per-key window below sees at most ``back + 1`` rows per block.
+    Only the last ``back`` rows (tails) and the first row (head) of each block matter.
+    Tails are numbered along the key; a head knows how many came before it and joins
+    the last ``back`` of them, from several blocks where blocks are short.
     """
     cols = blocks.columns
     newest = Window.partitionBy(*keys, BLOCK).orderBy(*_desc(order))
     oldest = Window.partitionBy(*keys, BLOCK).orderBy(*order)
     tails = blocks.withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") <= back)
     heads = blocks.withColumn("_r", F.row_number().over(oldest)).filter(F.col("_r") == 1)
-    marked = tails.withColumn("_head", F.lit(False)).unionByName(heads.withColumn("_head", F.lit(True)))
-    # A block adds one head and at least one tail, so 2 * back rows hold back tails.
-    before = (
+    edges = tails.withColumn("_head", F.lit(False)).unionByName(heads.withColumn("_head", F.lit(True)))
+    along = (
         Window.partitionBy(*keys)
         .orderBy(*order, F.col("_head").desc())
-        .rowsBetween(-2 * back, -1)
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    seen = F.collect_list(F.when(~F.col("_head"), F.struct(*cols))).over(before)
-    kept = F.when(F.size("_seen") > back, F.slice("_seen", -back, back)).otherwise(F.col("_seen"))
-    return (
-        marked.withColumn("_seen", seen)
-        .filter("_head")
-        .select(F.col(BLOCK).alias("_to"), F.explode(kept).alias("_row"))
-        .select("_row.*", "_to")
-        .drop(BLOCK)
-        .withColumnRenamed("_to", BLOCK)
+    numbered = edges.withColumn("_no", F.sum(F.when(F.col("_head"), 0).otherwise(1)).over(along))
+    first_wanted = F.greatest(F.col("_no") - (back - 1), F.lit(1))
+    wanted = numbered.filter(F.col("_head") & (F.col("_no") > 0)).select(
+        *[F.col(k).alias(f"_w_{k}") for k in keys],
+        F.col(BLOCK).alias("_to"),
+        F.explode(F.sequence(first_wanted, F.col("_no"))).alias("_want"),
     )
+    on = F.col("_no") == F.col("_want")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_w_{k}"))
+    placed = numbered.filter(~F.col("_head")).join(wanted, on)
+    return placed.select(*[F.col("_to").alias(BLOCK) if c == BLOCK else F.col(c) for c in cols])
 
 
 def _join_blocks(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:

@@ -69,10 +69,10 @@ class OnsetSink:
         self.snapshots = SnapshotStore(self.spark, f"{self.root}/snapshot")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         flagged = flag_onsets(batch).withColumn("alert_timestamp", F.col("window_end")).persist()
         try:
+            if flagged.isEmpty():
+                return
             alerts = flagged.filter("onset_flag")
             if self.publish:
                 self.publish(alerts)

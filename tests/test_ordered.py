@@ -132,6 +132,26 @@ def test_small_keys_take_the_plain_window(spark):
     assert ordered.blocks_of(frame(spark, data), ["k"], ["t", "id"], 5) is None
 
 
+def test_short_blocks_borrow_from_several(spark):
+    """One row per block: a frame reaches across many blocks."""
+    data = [("a", i, i, float(i)) for i in range(40)]
+
+    def make(w):
+        return [{"s": F.sum("v").over(w.rowsBetween(-9, 0)), "l": F.lag("v", 9).over(w)}]
+
+    out = over_rows(frame(spark, data), ["k"], ["t", "id"], 9, make, "pos", 1)
+    for r in out.collect():
+        i = r["id"]
+        want = (sum(range(max(0, i - 9), i + 1)), float(i - 9) if i >= 9 else None, i)
+        assert (r["s"], r["l"], r["pos"]) == want
+
+
+def test_quantile_count_and_mean(spark):
+    data = [("a", 0, i, v) for i, v in enumerate([1.0, 1.0, 4.0, None])]
+    row = quantiles(frame(spark, data), ["k"], "v", {"p": 0.5}, count="n", mean="m").first()
+    assert (row["p"], row["n"], row["m"]) == (1.0, 3, 2.0)
+
+
 def test_empty_input(spark):
     empty = frame(spark, [])
     assert running(empty, ["k"], ["t"], rows_per_task=1).count() == 0

@@ -162,3 +162,22 @@ def test_error_metrics(spark):
     df = spark.createDataFrame([("a", 1.0, 1.0), ("a", 3.0, 2.0), ("b", 2.0, 2.0)], "k string, y double, yhat double")
     got = {r["k"]: r for r in aggregates.error_metrics(df, ["k"]).collect()}
     assert got["a"]["mae"] == 0.5 and got["a"]["r2"] == pytest.approx(0.5) and got["b"]["r2"] is None
+
+
+def test_approximate_latency_is_close(spark):
+    df = spark.range(1000).selectExpr("'a' as k", "cast(id as double) as v")
+    exact = aggregates.latency_summary(df, "k", "v").first()
+    near = aggregates.latency_summary_approx(df, "k", "v").first()
+    assert exact["peak_latency_ms"] == 990.0 and abs(near["peak_latency_ms"] - 990.0) <= 2
+    assert exact["scale"] == near["scale"] == 1000 and exact["avg_latency_ms"] == near["avg_latency_ms"]
+
+
+def test_live_against_baseline(spark):
+    live = spark.createDataFrame([("a", "2024-01-04", 30.0), ("b", "2024-01-04", 5.0)], "county string, t string, cum_72hr_mm double")
+    live = live.withColumn("window_start", F.col("t").cast("timestamp")).drop("t")
+    history = spark.createDataFrame(
+        [("a", "1999-01-01", 10.0), ("a", "2000-01-20", 20.0), ("a", "2000-02-01", 99.0)], "county string, t string, cum_72hr_mm double"
+    ).withColumn("observation_date", F.col("t").cast("timestamp"))
+    got = {r["county"]: r for r in joins.live_vs_baseline(live, history).collect()}
+    assert got["a"]["difference_mm"] == 15.0 and got["a"]["ratio"] == 2.0
+    assert got["b"]["expected_mm"] is None and got["b"]["ratio"] is None
