@@ -51,14 +51,14 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def event_stream(self) -> DataFrame:
-        """The same readings as a file stream."""
-        events = (
-            state_session(self.spark)
-            .readStream.schema(self.raw("events").schema)
-            .option("pathGlobFilter", "events.parquet")
-            .parquet(self.folder)
-        )
-        return readings_from(events)
+        """The same readings as a file stream, whether the table is one file or a folder.
+
+        The files are in no time order, so a drained stream takes them as one batch:
+        several would move the watermark past readings still to come.
+        """
+        reader = state_session(self.spark).readStream.schema(self.raw("events").schema)
+        # A file stream takes folders or patterns, not a plain file name.
+        return readings_from(reader.parquet(f"{self.folder}/events.parque[t]"))
 
     def readings(self) -> DataFrame:
         return readings_from(self.raw("events"))
