@@ -4,9 +4,10 @@ Membership is soft. A softmax classifier, fit on a bounded sample of labelled do
 document a probability for each domain. Its tokens (words) count for a domain by that probability. Wanted are
 rates r >= 0 with expected totals sum(r * tokens * p_k) = target_k: least squares in the totals, by
 projected gradient from r = 1. A step moves the rate of a document by the residuals weighted with its
-probabilities and is cut off at 0; residuals are scaled by the curvature of the documents whose rate is
-not 0. A rate depends on the document's probabilities and on the residuals so far (one number per domain
-and round), so Spark computes it anew from the row in each round, and a round returns sums only.
+probabilities; steps add up freely, and rates are their projection, cut off at 0 (the lazy form of the
+method). Residuals are scaled by the curvature of the documents that are not cut off, and the best of a few
+step lengths is taken. A rate depends on the document's probabilities and on the sum of the steps (one number
+per domain), so Spark computes it anew from the row in each round, and a round returns sums only.
 
 Domains come from the labels: ``toxic`` (toxic = 1), ``poor`` (quality = 0) and ``plain`` (any other label).
 The total is that of the documents. With ``least`` = 1 no rate falls below 1, and the total is the least at
@@ -36,7 +37,7 @@ from pluvia.session import new_folder
 SAMPLE = 4000
 DOMAINS = ("plain", "poor", "toxic")
 TARGETS = {"plain": 0.90, "poor": 0.05, "toxic": 0.05}
-ROUNDS, EXACT, RIDGE = 30, 1e-9, 1e-9
+ROUNDS, EXACT, SOFT, STEPS = 30, 1e-10, 1e-8, (1.0, 0.4, 0.1, 0.01)
 
 
 @dataclass(frozen=True)
@@ -123,41 +124,62 @@ def with_membership(docs: DataFrame, model: Softmax, keep: list[str] | None = No
     return add_columns(docs, fields, make, keep)
 
 
-def rate(steps: list[np.ndarray], least: float = 0.0) -> Column:
-    """The rate after the given rounds, from the probabilities of the row."""
-    r = F.lit(1.0)
-    for step in steps:
-        move = sum((F.col(f"p_{d}") * float(s) for d, s in zip(DOMAINS, step)), F.lit(0.0))
-        r = F.greatest(F.lit(float(least)), r - move)
-    return r
+def rate(moved: np.ndarray, least: float = 0.0) -> Column:
+    """The rate of a row: 1, less the steps so far weighted with its probabilities, cut off at ``least``."""
+    return F.greatest(F.lit(float(least)), F.lit(1.0) - _along(moved))
 
 
-def solve(members: DataFrame, targets: dict[str, float], least: float = 0.0) -> list[np.ndarray]:
-    """The steps of the projected gradient; ``members`` has tokens and probabilities."""
+def _along(moved: np.ndarray) -> Column:
+    return sum((F.col(f"p_{d}") * float(m) for d, m in zip(DOMAINS, moved)), F.lit(0.0))
+
+
+def _sums(moved: np.ndarray, least: float) -> list[Column]:
+    """What a round needs to know at one place: the rates' own part of the objective, the totals of the
+    domains, and the curvature of the documents that are not held at the bound."""
+    r, t, along = rate(moved, least), F.col("tokens").cast("double"), _along(moved)
+    live = F.when(F.lit(1.0) - along > least, t).otherwise(0.0)
+    own = [F.sum(t * ((r - 1) * (r - 1) / 2 + r * along))]
+    totals = [F.sum(t * r * F.col(f"p_{d}")) for d in DOMAINS]
+    pairs = [(a, b) for k, a in enumerate(DOMAINS) for b in DOMAINS[: k + 1]]
+    return own + totals + [F.sum(live * F.col(f"p_{a}") * F.col(f"p_{b}")) for a, b in pairs]
+
+
+def solve(members: DataFrame, targets: dict[str, float], least: float = 0.0) -> np.ndarray:
+    """The sum of all steps, one number per domain; ``members`` has tokens and probabilities.
+
+    Minimises |totals - targets|^2 / (2 SOFT S) + sum(tokens * (r - 1)^2) / 2, S the tokens of all documents: with
+    SOFT near 0 the targets are met if they can be, by the rates nearest to 1.
+    """
     k = len(DOMAINS)
     share = np.array([targets[d] for d in DOMAINS], float) / sum(targets[d] for d in DOMAINS)
-    steps: list[np.ndarray] = []
-    want = None
+
+    def measure(places: list[np.ndarray]):
+        sums = [s.alias(f"s{m}_{n}") for m, y in enumerate(places) for n, s in enumerate(_sums(y, least))]
+        row = members.agg(*sums).first()
+        for m, y in enumerate(places):
+            part = np.array([np.nan if x is None else x for x in row[m * len(row) // len(places) : (m + 1) * len(row) // len(places)]], float)
+            bend = np.zeros((k, k))
+            bend[np.tril_indices(k)] = part[1 + k :]
+            yield y, part[0], part[1 : 1 + k], bend + np.tril(bend, -1).T
+
+    moved = np.zeros(k)
+    _, own, totals, bend = next(measure([moved]))
+    everything = totals.sum()
+    if not everything > 0:
+        return moved
+    if least >= 1:  # at rate 1 all rows are at the bound: the first step takes them as free
+        _, _, _, bend = next(measure([np.full(k, -1e-9)]))
+    held = [g / s for g, s in zip(totals, share) if s] if least >= 1 else []
+    want = share * max([everything, *held])
     for _ in range(ROUNDS):
-        r = rate(steps, least)
-        weight = F.col("tokens") * r
-        sums = [F.sum(weight * F.col(f"p_{d}")) for d in DOMAINS]
-        # the curvature of the documents that a step moves
-        moving = r > least if steps else F.lit(True)
-        live = F.when(moving, F.col("tokens").cast("double")).otherwise(0.0)
-        sums += [F.sum(live * F.col(f"p_{a}") * F.col(f"p_{b}")) for a in DOMAINS for b in DOMAINS]
-        row = members.agg(*(s.alias(f"s{n}") for n, s in enumerate(sums))).first()
-        if row[0] is None:
-            return []
-        got, bend = np.array(row[:k], float), np.array(row[k:], float).reshape(k, k)
-        if want is None:
-            held = [g / s for g, s in zip(got, share) if s] if least >= 1 else []
-            want = share * max([got.sum(), *held])
-        residual = got - want
-        if np.abs(residual).max() <= EXACT * max(1.0, want.sum()):
+        slope = totals - want - SOFT * everything * moved
+        if np.abs(slope).max() <= EXACT * everything:
             break
-        steps.append(np.linalg.solve(bend + RIDGE * max(1.0, np.trace(bend)) * np.eye(k), residual))
-    return steps
+        step = np.linalg.solve(bend + SOFT * everything * np.eye(k), slope)
+        tried = measure([moved + s * step for s in STEPS])
+        gain = lambda x: x[1] - x[0] @ want - SOFT * everything / 2 * x[0] @ x[0]
+        moved, own, totals, bend = max(tried, key=gain)
+    return moved
 
 
 def mix(
@@ -171,8 +193,8 @@ def mix(
     path = new_folder(docs.sparkSession, "membership")
     scored.write.parquet(path)
     scored = docs.sparkSession.read.parquet(path)
-    steps = solve(scored.select("tokens", *(f"p_{d}" for d in DOMAINS)), targets, least)
-    return scored.withColumn("rate", rate(steps, least))
+    moved = solve(scored.select("tokens", *(f"p_{d}" for d in DOMAINS)), targets, least)
+    return scored.withColumn("rate", rate(moved, least))
 
 
 def taken(rate_: Column, *key: str) -> Column:

@@ -356,19 +356,27 @@ def test_rates_with_a_floor_and_against_a_plain_solver(spark):
     p = turn.dirichlet([6, 0.5, 1], 500)
     tokens = turn.integers(0, 400, 500)
     rows = spark.createDataFrame(pd.DataFrame(np.column_stack([p]), columns=[f"p_{d}" for d in mixing.DOMAINS]).assign(tokens=tokens))
-    for least, targets in ((0.0, {"plain": 0.3, "poor": 0.1, "toxic": 0.6}), (1.0, {"plain": 0.8, "poor": 0.08, "toxic": 0.12})):
-        steps = mixing.solve(rows, targets, least)
-        r = np.ones(500)
-        for s in steps:
-            r = np.maximum(least, r - p @ s)
+    for least, targets in ((0.0, {"plain": 0.9, "poor": 0.05, "toxic": 0.05}), (1.0, {"plain": 0.82, "poor": 0.06, "toxic": 0.12}), (0.0, {"plain": 0.1, "poor": 0.1, "toxic": 0.8})):
+        moved = mixing.solve(rows, targets, least)
+        r = np.maximum(least, 1 - p @ moved)
         share = np.array([targets[d] for d in mixing.DOMAINS])
         have = (p * tokens[:, None]).sum(axis=0)
         want = share * (max([tokens.sum(), *(have / share)]) if least else tokens.sum())
-        assert np.allclose((p * (r * tokens)[:, None]).sum(axis=0), want, rtol=1e-5)
-        shown = rows.select(mixing.rate(steps, least).alias("r")).toPandas()["r"].to_numpy()
+        slow = slow_rates(p, tokens, want, least)
+        cost = lambda r: (((p * (r * tokens)[:, None]).sum(axis=0) - want) ** 2).sum()
+        assert cost(r) <= cost(slow) + 1e-6 * tokens.sum() ** 2
+        shown = rows.select(mixing.rate(moved, least).alias("r")).toPandas()["r"].to_numpy()
         assert np.allclose(np.sort(shown), np.sort(r))
 
 
+def slow_rates(p, tokens, want, least):
+    """Plain projected gradient on the squared residuals, in weights of tokens."""
+    r, size = np.ones(len(p)), 1 / np.linalg.eigvalsh((p * tokens[:, None]).T @ p).max()
+    for _ in range(20_000):
+        r = np.maximum(least, r - size * (p @ ((p * (r * tokens)[:, None]).sum(axis=0) - want)))
+    return r
+
+
 # -- op7
 
 
