@@ -7,23 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
 
+def join_checked(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Attach a dimension without a hint, and without a job of its own.
 
-def join_checked(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Broadcast the dimension only after counting it; otherwise a shuffled join.
-
-    The count stops one row beyond the limit. AQE splits skewed partitions of the
-    shuffled form.
+    AQE knows the bytes of the dimension once its stage has run: it broadcasts below
+    ``spark.sql.autoBroadcastJoinThreshold`` and splits skewed partitions above.
     """
-    small = dim.limit(max_rows + 1).count() <= max_rows
-    return fact.join(F.broadcast(dim) if small else dim, list(on), how)
+    return fact.join(dim, list(on), how)
 
 
 def enrich_with_county(readings: DataFrame, mapping: DataFrame) -> DataFrame:

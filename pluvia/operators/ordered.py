@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from pluvia.session import new_folder
 
 ROWS_PER_TASK = 5_000_000
-MAX_BLOCKS = 20_000
 BLOCK = "_block"
 
 
@@ -51,7 +50,7 @@ def blocks_of(
     total, largest = sizes or _key_sizes(df, keys)
     if largest <= rows_per_task:
         return None
-    return _split(df, keys, order, min(MAX_BLOCKS, -(-total // rows_per_task)))
+    return _split(df, keys, order, -(-total // rows_per_task))
 
 
 def _desc(order: Sequence[str]) -> list[Column]:

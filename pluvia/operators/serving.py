@@ -42,10 +42,16 @@ def features(rows: DataFrame) -> DataFrame:
     return rows.select("county", feature.alias("feature"))
 
 
-def feature_collection(rows: DataFrame, updated: Column, model_version: str) -> DataFrame:
-    """The whole map as one GeoJSON text. ``rows`` has one row per county of the dimension."""
-    counties = county_dim(rows.sparkSession).select("county")
-    known = features(rows.join(counties, "county", "semi"))
+def feature_collection(
+    rows: DataFrame, updated: Column, model_version: str, counties: DataFrame | None = None
+) -> DataFrame:
+    """The whole map as one GeoJSON text.
+
+    One text holds one feature per county, so it is bounded by the dimension ``counties``
+    (column ``county``; the built-in one by default): other names have no place on the map.
+    """
+    dim = county_dim(rows.sparkSession) if counties is None else counties
+    known = features(rows.join(dim.select("county"), "county", "semi"))
     live = F.count("feature.properties.alert_timestamp")
     scored = F.count("feature.properties.ml_probability")
     metadata = F.struct(

@@ -62,14 +62,7 @@ def distinct_coords(t):
     ),
 )
 def velocity(t):
-    return a.velocity_report(hourly_rows(_with_wind(common.week_payloads(t))), variables=5)
-
-
-def _with_wind(payloads):
-    """Add the field the stand-in payloads lack, as an absent array."""
-    return payloads.withColumn(
-        "hourly", F.col("hourly").withField("wind_speed_10m", F.lit(None).cast("array<double>"))
-    )
+    return a.velocity_report(hourly_rows(common.week_payloads(t)), variables=5)
 
 
 GAPPY_SQL = """SELECT CASE WHEN reading_id % 50 = 0 THEN CAST('NaN' AS DOUBLE) WHEN reading_id % 77 = 0 THEN CAST('Infinity' AS DOUBLE)
@@ -248,10 +241,7 @@ def spatial_cells(t):
     ),
 )
 def forecast_total(t):
-    payloads = common.daily_payloads(t).withColumn(
-        "daily", F.col("daily").withField("temperature_2m_min", F.lit(None).cast("array<double>"))
-    )
-    return daily_rows(payloads).groupBy("county", "payload_id").agg(
+    return daily_rows(common.daily_payloads(t)).groupBy("county", "payload_id").agg(
         F.sum("precipitation_mm").alias("forecast_mm")
     )
 

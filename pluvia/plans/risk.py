@@ -201,7 +201,7 @@ def active_alerts(t):
     ),
 )
 def map_envelope(t):
-    text = serving.feature_collection(_risk_map(t), F.lit(SCORED_ON), "v1")
+    text = serving.feature_collection(_risk_map(t), F.lit(SCORED_ON), "v1", common.counties(t))
 
     def at(path: str):
         return F.get_json_object("geojson", path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pluvia.functions.weather import county_from_coord
@@ -102,6 +104,24 @@ def foreach_multi_sink(t):
     return alerts.select(*columns).unionByName(latest.select(*columns))
 
 
+@query(
+    "stream_top_counties",
+    sql(
+        f"""SELECT county, {ts("window_end", "window_end")}, {d("cum_72hr_mm", "cum_72hr_mm")}, onset_flag FROM
+        (SELECT *, row_number() OVER (ORDER BY cum_72hr_mm DESC, county) AS k FROM
+          (SELECT *, row_number() OVER (PARTITION BY county ORDER BY cum_72hr_mm DESC, window_end DESC) AS j FROM done) WHERE j = 1)
+        WHERE k <= 5""",
+        "readings",
+        windows_72h=common.WINDOWS_72H,
+        done=CLOSED_72H,
+    ),
+)
+def top_counties(t):
+    """The report of a drained stream: one batch holds all of its windows."""
+    rows = t.spark.read.parquet(f"{drained_sink(t).root}/top_counties")
+    return rows.select("county", "window_end", "cum_72hr_mm", "onset_flag")
+
+
 @query(
     "stream_cms_update",
     sql(
@@ -165,7 +185,7 @@ def parquet_overwrite(t):
     sql(f"SELECT observation_id, county, {d('cum_72hr_mm', 'cum_72hr_mm')}, onset_flag FROM history", "history"),
 )
 def table_replace(t):
-    table = writers.table_name_for("Onset-History.grib")
+    table = f"{writers.table_name_for('Onset-History.grib')}_{uuid.uuid4().hex}"
     writers.replace_table(t.history().drop("observation_date"), table, new_folder(t.spark, table))
     return t.spark.table(table)
 
@@ -184,8 +204,9 @@ def ctas_enriched(t):
     rows = enrich_with_county(t.climate(), mapping).select(
         "id1", "id2", "county", y.alias("y"), (y + 273.15).alias("temp_k")
     )
-    writers.replace_table(rows, "enriched_data", new_folder(t.spark, "enriched_data"))
-    return t.spark.table("enriched_data")
+    table = f"enriched_data_{uuid.uuid4().hex}"
+    writers.replace_table(rows, table, new_folder(t.spark, table))
+    return t.spark.table(table)
 
 
 @query(
@@ -201,7 +222,7 @@ def ctas_enriched(t):
 )
 def raw_archive(t):
     payloads, path = common.week_payloads(t), new_folder(t.spark, "archive")
-    writers.archive_raw(payloads, path, "forecast", F.lit(NOW).cast("timestamp"))
+    writers.archive_raw(payloads, path, "forecast", F.lit(NOW).cast("timestamp"), "2024-02-01")
     schema = (
         "payload_id bigint, hourly struct<time: array<string>>, onset_signal string, "
         "_meta struct<county: string, fetched_at: string, source: string>, county string, date date"

@@ -175,9 +175,6 @@ def daily_forecast(t):
     return payloads.daily_rows(payloads.parse_payload(texts, "payload", "daily")).drop("payload_id")
 
 
-LATS, LONS = [float(x) for x in range(-12, 4)], [float(x) for x in range(34, 39)]
-
-
 @query(
     "src_grid_flatten",
     sql(
@@ -187,19 +184,20 @@ LATS, LONS = [float(x) for x in range(-12, 4)], [float(x) for x in range(34, 39)
     ),
 )
 def grid_flatten(t):
-    """Daily fields as lat x lon arrays (16 x 5 cells), flattened again."""
+    """Daily fields as lat x lon arrays, each with the axes its cells call for, flattened again."""
     cells = t.climate().groupBy("date", "lat", "lon").agg(F.avg("temperature_c").alias("v"))
-    rows = cells.groupBy("date", "lat").agg(
-        F.array(*[F.max(F.when(F.col("lon") == x, F.col("v"))) for x in LONS]).alias("row")
+    # One grid a day: its cells are the bound of these lists.
+    days = cells.groupBy("date").agg(
+        F.array_sort(F.collect_set("lat")).alias("latitude"),
+        F.array_sort(F.collect_set("lon")).alias("longitude"),
+        F.map_from_entries(F.collect_list(F.struct(F.struct("lat", "lon"), "v"))).alias("_v"),
     )
-    empty = F.array().cast("array<double>")
-    cubes = rows.groupBy("date").agg(
-        F.array(
-            *[F.coalesce(F.max(F.when(F.col("lat") == y, F.col("row"))), empty) for y in LATS]
-        ).alias("t")
+    field = F.transform(
+        "latitude",
+        lambda y: F.transform("longitude", lambda x: F.try_element_at("_v", F.struct(y.alias("lat"), x.alias("lon")))),
     )
-    coords = {"latitude": F.array(*map(F.lit, LATS)), "longitude": F.array(*map(F.lit, LONS))}
-    return payloads.flatten_grid(cubes.withColumns(coords), "t", "temperature_k", keep=["date"])
+    cubes = days.select("date", "latitude", "longitude", field.alias("t"))
+    return payloads.flatten_grid(cubes, "t", "temperature_k", keep=["date"])
 
 
 @query(

@@ -17,7 +17,7 @@ from pluvia.plans.tables import sql
 from pluvia.schemas import COUNTY_NAMES
 from pluvia.session import new_folder
 from pluvia.sinks.writers import overwrite_parquet
-from pluvia.sources.payloads import forecast_onset, trailing_snapshot
+from pluvia.sources.payloads import forecast_onset, parse_payload, trailing_snapshot
 from pluvia.streaming.windows import onset_exact
 
 # Small enough that the test tables take the range-split path.
@@ -183,7 +183,10 @@ def onset_back48(t):
     ),
 )
 def snapshot(t):
-    return trailing_snapshot(common.week_payloads(t))
+    """From the JSON texts, through the same parser as live payloads."""
+    weeks = common.week_payloads(t)
+    texts = weeks.select("county", "payload_id", F.to_json(F.struct("hourly")).alias("payload"))
+    return trailing_snapshot(parse_payload(texts, "payload", "hourly"))
 
 
 BACKFILL_SQL = sql(
@@ -282,13 +285,12 @@ def latest_alerts(t):
 def union_files(t):
     """Results of three periods written apart, read back and united."""
     rows = common.windows_72h(t).select("county", "window_start", "cum_72hr_mm")
-    cuts = ["1970-01-01", "2024-01-16", "2024-01-22", "2100-01-01"]
+    first, second = (F.lit(day).cast("timestamp") for day in ("2024-01-16", "2024-01-22"))
     start = F.col("window_start")
     parts = []
-    for low, high in zip(cuts, cuts[1:]):
+    for period in (start < first, (start >= first) & (start < second), start >= second):
         path = new_folder(t.spark, "part")
-        bounds = (start >= F.lit(low).cast("timestamp")) & (start < F.lit(high).cast("timestamp"))
-        overwrite_parquet(rows.filter(bounds), path)
+        overwrite_parquet(rows.filter(period), path)
         parts.append(t.spark.read.schema(rows.schema).parquet(path))
     return union_all(parts)
 

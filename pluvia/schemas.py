@@ -57,12 +57,14 @@ MESSAGE_V0 = T.StructType(
     ]
 )
 
+# Field names of the forecast payloads.
 HOURLY_FIELDS = [
     "precipitation",
     "temperature_2m",
     "soil_moisture_0_to_1cm",
     "relative_humidity_2m",
     "wind_speed_10m",
+    "surface_pressure",
 ]
 HOURLY = T.StructType(
     [T.StructField("time", T.ArrayType(T.StringType()))]
@@ -74,6 +76,7 @@ DAILY = T.StructType(
     + [T.StructField(name, T.ArrayType(T.DoubleType())) for name in DAILY_FIELDS]
 )
 
+# Columns of the climate file and of the snapshot, inputs of the model.
 CLIMATE_CSV = T.StructType(
     [
         T.StructField("lat", T.DoubleType()),

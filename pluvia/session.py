@@ -48,16 +48,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/pluvia/{label}-{uuid.uuid4().hex}"
 
 
-def state_session(spark: SparkSession) -> SparkSession:
+def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A session for stateful streams, whose shuffle is not resized by AQE.
 
-    Every state partition is a task in every micro-batch, so the untouched default of
-    200 is replaced by the cores at hand; a value the user chose stays.
+    Every state partition is a task in every micro-batch, and a stream's checkpoint fixes
+    their number. ``partitions`` sets it; by default it is that of the given session.
     """
     session = spark.newSession()
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    if partitions == "200":
-        partitions = str(spark.sparkContext.defaultParallelism)
-    session.conf.set("spark.sql.shuffle.partitions", partitions)
+    count = partitions or spark.conf.get("spark.sql.shuffle.partitions")
+    session.conf.set("spark.sql.shuffle.partitions", str(count))
     session.conf.set("spark.sql.session.timeZone", "UTC")
     return session

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pluvia.schemas import SNAPSHOT, SNAPSHOT_TTL_DAYS
 from pluvia.sources.payloads import forecast_onset
@@ -19,9 +24,27 @@ def write_csv_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    """Append a micro-batch under its own folder; a repeated batch replaces itself."""
-    df.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+def write_batch(df: DataFrame, path: str, run: str, batch_id: int, fmt: str = "parquet") -> None:
+    """Append a micro-batch under its own folder; a repeated batch of the same run replaces itself.
+
+    A run is one checkpoint: batch numbers start again at zero with a new one.
+    """
+    df.write.mode("overwrite").format(fmt).save(f"{path}/run={run}/batch_id={batch_id}")
+
+
+RUN = "run string, started long"
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the run that a checkpoint stands for, kept inside its folder.
+
+    Ids sort by the time a run began: that time in milliseconds comes first.
+    """
+    place = f"{checkpoint}/pluvia-run"
+    began = time.time_ns() // 1_000_000
+    fresh = spark.createDataFrame([(f"{began:015d}-{uuid.uuid4().hex[:8]}", began)], RUN)
+    fresh.coalesce(1).write.mode("ignore").parquet(place)
+    return spark.read.schema(RUN).parquet(place).first()["run"]
 
 
 def table_name_for(file_name: str) -> str:
@@ -53,17 +76,20 @@ def publish_alerts(alerts: DataFrame, brokers: str, topic: str = "onset-alerts")
     ).save()
 
 
-def archive_raw(payloads: DataFrame, path: str, source: str, fetched: Column) -> None:
-    """Land raw payloads by county and date, with a ``_meta`` struct and their onset signals."""
+def archive_raw(payloads: DataFrame, path: str, source: str, fetched: Column, run: str) -> None:
+    """Land raw payloads by county and date, with a ``_meta`` struct and their onset signals.
+
+    ``run`` names the job; a job that runs again replaces what it had landed.
+    """
     meta = F.struct(
         "county",
         F.date_format(fetched, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("fetched_at"),
         F.lit(source).alias("source"),
     )
     rows = forecast_onset(payloads, keep_payload=True)
-    rows.withColumns({"_meta": meta, "date": F.to_date(fetched)}).write.mode("append").partitionBy(
+    rows.withColumns({"_meta": meta, "date": F.to_date(fetched)}).write.mode("overwrite").partitionBy(
         "county", "date"
-    ).json(path)
+    ).json(f"{path}/run={run}")
 
 
 def upsert_latest(previous: DataFrame, alerts: DataFrame, now: Column) -> DataFrame:
@@ -83,27 +109,66 @@ def upsert_latest(previous: DataFrame, alerts: DataFrame, now: Column) -> DataFr
     )
 
 
-class SnapshotStore:
-    """Snapshots as numbered versions of one folder.
+VERSION = (
+    T.StructField("run", T.StringType()),
+    T.StructField("batch", T.LongType()),
+    T.StructField("_no", T.IntegerType()),
+)
+
 
-    Writing version n reads the newest version below n, so running a batch again gives
-    the same version again. Readers see the newest version.
+class StateStore:
+    """A small table that is renewed from its own last state, in two slots.
+
+    Version (run, batch) is built on the newest other version and replaces the older slot,
+    so that a batch that runs again gives the same version again and the version before it
+    stays readable meanwhile. Two small files are read however many versions there were.
     """
 
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
+        self.spark, self.path, self.schema = spark, path, schema
+        self.stored = T.StructType([*schema, *VERSION])
+        for slot in (0, 1):
+            spark.createDataFrame([], self.stored).write.mode("ignore").parquet(f"{path}/slot={slot}")
+
+    def _slots(self) -> DataFrame:
+        # The schema is given, so the slot that is being replaced may be absent.
+        schema = T.StructType([*self.stored, T.StructField("slot", T.IntegerType())])
+        return self.spark.read.schema(schema).parquet(self.path)
+
+    def _versions(self) -> list:
+        """(run, batch, slot), newest first: two at most."""
+        found = self._slots().groupBy("run", "batch", "slot").count().collect()
+        return sorted(((r["run"], r["batch"], r["slot"]) for r in found), reverse=True)
+
+    def read(self) -> DataFrame:
+        return self._version(next(iter(self._versions()), None))
+
+    def _version(self, version: tuple | None) -> DataFrame:
+        if version is None:
+            return self.spark.createDataFrame([], self.schema)
+        return self._slots().where(F.col("slot") == version[2]).where(F.col("_no").isNotNull()).select(*self.schema.names)
+
+    def write(self, renew: Callable[[DataFrame], DataFrame], run: str, batch: int) -> None:
+        """Store ``renew(state before this batch)``."""
+        versions = self._versions()
+        again = [v for v in versions if v[:2] == (run, batch)]
+        before = next((v for v in versions if v[:2] != (run, batch)), None)
+        if again:
+            slot = again[0][2]
+        else:
+            slot = 1 - before[2] if before else 0
+        version = {"run": F.lit(run), "batch": F.lit(batch).cast("long"), "_no": F.lit(1)}
+        # An empty state still has a version: one row that is no row of the table.
+        mark = self.spark.createDataFrame([(run, batch)], "run string, batch long")
+        rows = renew(self._version(before)).withColumns(version).unionByName(mark, allowMissingColumns=True)
+        rows.select(*self.stored.names).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/slot={slot}")
+
+
+class SnapshotStore(StateStore):
+    """The latest alert of every county; expired ones are left out when it is renewed."""
+
     def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
-        empty = spark.createDataFrame([], SNAPSHOT)
-        empty.write.mode("overwrite").parquet(f"{path}/version=-1")
-
-    def read(self, below: int | None = None) -> DataFrame:
-        versions = self.spark.read.option("basePath", self.path).parquet(self.path)
-        if below is not None:
-            versions = versions.filter(F.col("version") < below)
-        newest = versions.agg(F.max("version")).first()[0]
-        if newest is None:
-            return self.spark.createDataFrame([], SNAPSHOT)
-        return versions.filter(F.col("version") == newest).drop("version")
-
-    def write(self, alerts: DataFrame, version: int, now: Column) -> None:
-        rows = upsert_latest(self.read(below=version), alerts, now)
-        rows.write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        super().__init__(spark, path, SNAPSHOT)
+
+    def upsert(self, alerts: DataFrame, run: str, batch: int, now: Column) -> None:
+        self.write(lambda before: upsert_latest(before, alerts, now).where(F.col("expires_at") > now), run, batch)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pluvia.functions.risk import round_mm
 from pluvia.schemas import DAILY, HOURLY, NEUTRAL_PRESSURE_HPA, ONSET_HOURS, ONSET_MM
 
-# Reading name of each hourly field.
+# Reading name of each hourly and daily field.
 READING_NAMES = {
     "precipitation": "precipitation",
     "temperature_2m": "temperature",
@@ -37,12 +37,18 @@ def parse_payload(text: DataFrame, column: str, part: str) -> DataFrame:
     return text.withColumn(part, F.from_json(column, schema)[part]).drop(column)
 
 
+def _field(payloads: DataFrame, struct: str, name: str) -> Column:
+    """An array of the struct; null where this source does not have it."""
+    known = payloads.schema[struct].dataType.fieldNames()
+    return F.col(f"{struct}.{name}") if name in known else F.lit(None).cast("array<double>")
+
+
 def _rows(payloads: DataFrame, struct: str, names: dict[str, str], time: str) -> DataFrame:
-    """Zip the parallel arrays; a missing array gives nulls."""
+    """Zip the parallel arrays; a missing or absent array gives nulls."""
     arrays = F.arrays_zip(
         F.col(f"{struct}.time").alias("time"),
         *[
-            F.coalesce(F.col(f"{struct}.{c}"), F.array().cast("array<double>")).alias(c)
+            F.coalesce(_field(payloads, struct, c), F.array().cast("array<double>")).alias(c)
             for c in names
         ],
     )
@@ -70,7 +76,7 @@ def latest_reading(payloads: DataFrame) -> DataFrame:
     size = F.size("hourly.time")
 
     def last(c: str) -> Column:
-        return F.round(F.try_element_at(F.col(f"hourly.{c}"), size), 4)
+        return F.round(F.try_element_at(_field(payloads, "hourly", c), size), 4)
 
     fields = {n: last(c) for c, n in READING_NAMES.items()}
     fields["precipitation"] = F.coalesce(fields["precipitation"], F.lit(0.0))
@@ -91,7 +97,7 @@ def trailing_snapshot(payloads: DataFrame) -> DataFrame:
     rain, temps, pressure = (
         F.col("hourly.precipitation"),
         F.col("hourly.temperature_2m"),
-        F.col("hourly.surface_pressure"),
+        _field(payloads, "hourly", "surface_pressure"),
     )
     last72 = F.slice(rain, F.greatest(F.size(rain) - (ONSET_HOURS - 1), F.lit(1)), ONSET_HOURS)
     latest_pressure = F.try_element_at(pressure, F.lit(-1))

@@ -8,15 +8,23 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from pluvia.operators.sketch import Sketch
 from pluvia.schemas import LAG_CRITICAL
-from pluvia.sinks.writers import SnapshotStore, alert_payloads, write_batch
+from pluvia.sinks.writers import SnapshotStore, StateStore, alert_payloads, run_of, write_batch
 from pluvia.streaming.windows import flag_onsets
 
 TRIGGER = "10 seconds"
+CELLS = T.StructType(
+    [
+        T.StructField("row_id", T.IntegerType()),
+        T.StructField("col_id", T.IntegerType()),
+        T.StructField("cnt", T.LongType()),
+    ]
+)
 
 
 def _triggered(writer, trigger: str | None):
@@ -55,8 +63,10 @@ def to_console(df: DataFrame, checkpoint: str, trigger: str | None = TRIGGER) ->
 class OnsetSink:
     """One micro-batch of 72-hour totals to all of its destinations.
 
-    Every write is keyed by the batch number, so a batch that runs again after a failure
-    replaces its own output. The sketch is kept as cells per batch and merged on reading.
+    Every write is keyed by the run, which is the checkpoint's, and the batch number: a batch
+    that runs again after a failure replaces its own output, and a new checkpoint on the same
+    root adds to what is there. The snapshot and the cells of the sketch are small states that
+    each batch renews. ``top`` counties by rain are reported per batch, under ``top_counties``.
     """
 
     spark: SparkSession
@@ -64,9 +74,12 @@ class OnsetSink:
     now: Callable[[], Column] = F.current_timestamp
     publish: Callable[[DataFrame], None] | None = None
     sketch: Sketch = field(default_factory=Sketch)
+    run: str = "0"
+    top: int = 5
 
     def __post_init__(self) -> None:
         self.snapshots = SnapshotStore(self.spark, f"{self.root}/snapshot")
+        self.cells = StateStore(self.spark, f"{self.root}/sketch", CELLS)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         flagged = flag_onsets(batch).withColumn("alert_timestamp", F.col("window_end")).persist()
@@ -76,23 +89,31 @@ class OnsetSink:
             alerts = flagged.filter("onset_flag")
             if self.publish:
                 self.publish(alerts)
-            write_batch(alert_payloads(alerts), f"{self.root}/payloads", batch_id, "text")
-            self.snapshots.write(alerts, batch_id, self.now())
-            write_batch(flagged, f"{self.root}/onset_alerts", batch_id)
-            cells = self.sketch.build(flagged, "county", "event_count")
-            write_batch(cells, f"{self.root}/sketch", batch_id)
+            write_batch(alert_payloads(alerts), f"{self.root}/payloads", self.run, batch_id, "text")
+            self.snapshots.upsert(alerts, self.run, batch_id, self.now())
+            write_batch(flagged, f"{self.root}/onset_alerts", self.run, batch_id)
+            report = wettest(flagged, self.top)
+            write_batch(report, f"{self.root}/top_counties", self.run, batch_id)
+            counts = self.sketch.build(flagged, "county", "event_count")
+            self.cells.write(lambda before: self.sketch.merge(before.unionByName(counts)), self.run, batch_id)
         finally:
             flagged.unpersist()
 
     def sketch_cells(self) -> DataFrame:
-        return self.sketch.merge(
-            self.spark.read.parquet(f"{self.root}/sketch").drop("batch_id")
-        )
+        return self.cells.read()
+
+
+def wettest(flagged: DataFrame, top: int) -> DataFrame:
+    """The counties of largest 72-hour total in a batch, each with its largest window."""
+    columns = F.struct("cum_72hr_mm", "window_end", "onset_flag")
+    best = flagged.groupBy("county").agg(F.max(columns).alias("b")).select("county", "b.*")
+    return best.orderBy(F.desc("cum_72hr_mm"), "county").limit(top)
 
 
 def to_onset_sink(
     totals: DataFrame, sink: OnsetSink, checkpoint: str, trigger: str | None = TRIGGER
 ) -> StreamingQuery:
+    sink.run = run_of(sink.spark, checkpoint)
     writer = (
         totals.writeStream.outputMode("append")
         .foreachBatch(sink)
@@ -127,10 +148,13 @@ def lag_report(offsets: DataFrame, critical_above: int = LAG_CRITICAL) -> DataFr
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the progress figures of running queries: rows, rate, late rows dropped."""
+    """Progress figures of running queries: the last batches, and totals since the start.
+
+    ``totals`` maps the name of a query to its batches, rows and late rows dropped.
+    """
 
     def __init__(self, keep: int = 1000) -> None:
-        self.keep, self.rows = keep, []
+        self.keep, self.rows, self.totals = keep, [], {}
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -140,6 +164,8 @@ class ProgressLog(StreamingQueryListener):
         dropped = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
         self.rows.append((p.name, p.batchId, p.numInputRows, p.processedRowsPerSecond, dropped))
         del self.rows[: -self.keep]
+        batches, rows, late = self.totals.get(p.name, (0, 0, 0))
+        self.totals[p.name] = (batches + 1, rows + p.numInputRows, late + dropped)
 
     def onQueryTerminated(self, event) -> None:
         pass

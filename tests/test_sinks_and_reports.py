@@ -7,6 +7,7 @@ from pluvia.operators import aggregates, filters, joins, quality, windows
 from pluvia.operators.onset import onset_by_rows, onset_trailing
 from pluvia.schemas import SNAPSHOT
 from pluvia.sinks import writers
+from pluvia.sources import payloads
 
 
 def at(text):
@@ -21,11 +22,11 @@ def alerts(spark, *data):
 def test_snapshot_versions(spark, tmp_path):
     store = writers.SnapshotStore(spark, str(tmp_path / "s"))
     assert store.read().count() == 0
-    store.write(alerts(spark, ("Meru", "2024-01-04", 21.0, True), ("Meru", "2024-01-07", 22.0, True)), 0, at("2024-01-08"))
-    store.write(alerts(spark, ("Embu", "2024-01-07", 30.0, True), ("Meru", "2024-01-05", 99.0, True)), 1, at("2024-01-09"))
+    store.upsert(alerts(spark, ("Meru", "2024-01-04", 21.0, True), ("Meru", "2024-01-07", 22.0, True)), "r", 0, at("2024-01-08"))
+    store.upsert(alerts(spark, ("Embu", "2024-01-07", 30.0, True), ("Meru", "2024-01-05", 99.0, True)), "r", 1, at("2024-01-09"))
     got = {r["county"]: r["cum_72hr_mm"] for r in store.read().collect()}
     assert got == {"Meru": 22.0, "Embu": 30.0}
-    store.write(alerts(spark, ("Embu", "2024-01-07", 30.0, True), ("Meru", "2024-01-05", 99.0, True)), 1, at("2024-01-09"))
+    store.upsert(alerts(spark, ("Embu", "2024-01-07", 30.0, True), ("Meru", "2024-01-05", 99.0, True)), "r", 1, at("2024-01-09"))
     assert {r["county"]: r["cum_72hr_mm"] for r in store.read().collect()} == got
     assert store.read().schema.names == SNAPSHOT.names
     alive = filters.unexpired(store.read(), at("2024-01-15 12:00:00"))
@@ -60,15 +61,49 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_checked_join_broadcasts_only_below_the_limit(spark):
+def test_joins_start_no_job_and_leave_the_choice_to_measured_bytes(spark):
     fact, dim = spark.range(100).withColumn("k", F.col("id") % 5), spark.range(5).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("joins", "")
     try:
-        small, large = joins.join_checked(fact, dim, ["k"]), joins.join_checked(fact, dim, ["k"], max_rows=4)
-        assert "BroadcastHashJoin" in plan(small) and "BroadcastHashJoin" not in plan(large)
-        assert small.count() == large.count() == 100
+        joined = joins.join_checked(fact, dim.groupBy("k").count(), ["k"])
+        assert not tracker.getJobIdsForGroup("joins")
+        assert joined.count() == 100 and "isFinalPlan" in plan(joined)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_versions_of_a_new_run_follow_those_of_the_old(spark, tmp_path):
+    """Two slots hold the state, however many versions there were; an expired county goes."""
+    store = writers.SnapshotStore(spark, str(tmp_path / "s"))
+    for batch in range(4):
+        store.upsert(alerts(spark, ("Meru", f"2024-01-0{batch + 1}", 21.0, True)), "001-a", batch, at("2024-01-08"))
+    store.upsert(alerts(spark, ("Embu", "2024-01-02", 30.0, True)), "002-b", 0, at("2024-01-09"))
+    assert {r["county"]: r["alert_timestamp"].day for r in store.read().collect()} == {"Meru": 4, "Embu": 2}
+    again = writers.SnapshotStore(spark, str(tmp_path / "s"))
+    again.upsert(alerts(spark, ("Embu", "2024-01-02", 30.0, True)), "002-b", 0, at("2024-01-09"))
+    assert again.read().count() == 2
+    assert sorted(p.name for p in (tmp_path / "s").iterdir() if p.is_dir()) == ["slot=0", "slot=1"]
+    again.upsert(alerts(spark), "002-b", 1, at("2024-01-15 12:00:00"))
+    assert [r["county"] for r in again.read().collect()] == ["Embu"]
+    again.upsert(alerts(spark), "002-b", 2, at("2024-02-15"))
+    assert again.read().count() == 0
+
+
+def test_a_repeated_archive_job_replaces_itself(spark, tmp_path):
+    rows = spark.createDataFrame([("Meru", (["2024-01-01T00:00"], [1.0]))], "county string, hourly struct<time: array<string>, precipitation: array<double>>")
+    for run in ("a", "a", "b"):
+        writers.archive_raw(rows, str(tmp_path / "x"), "forecast", at("2024-01-08"), run)
+    assert spark.read.json(str(tmp_path / "x")).count() == 2
+
+
+def test_absent_fields_are_null(spark):
+    rows = spark.createDataFrame([("Meru", (["2024-01-01T00:00"], [1.0]))], "county string, hourly struct<time: array<string>, precipitation: array<double>>")
+    got = payloads.hourly_rows(rows).first()
+    assert got["precipitation"] == 1.0 and got["wind_speed"] is None
+    text = spark.createDataFrame([("Meru", '{"hourly": {"time": ["t"], "precipitation": [2.0], "surface_pressure": [990.0]}}')], "county string, payload string")
+    parsed = payloads.trailing_snapshot(payloads.parse_payload(text, "payload", "hourly")).first()
+    assert parsed["pressure_hpa"] == 990.0 and parsed["cum_72hr_mm"] == 2.0
 
 
 def test_years_and_trailing_days_reach_the_scan(spark, tmp_path):

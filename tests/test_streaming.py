@@ -162,7 +162,7 @@ def test_onset_sink(spark, feed, tmp_path):
 
     before = (sorted(map(str, history.collect())), str(snapshot), sorted(map(str, sink.sketch_cells().collect())))
     last = history.agg(F.max("batch_id")).first()[0]
-    again = history.filter(F.col("batch_id") == last).drop("batch_id", "onset_flag", "alert_timestamp")
+    again = history.filter(F.col("batch_id") == last).drop("run", "batch_id", "onset_flag", "alert_timestamp")
     rows = spark.createDataFrame(again.collect(), again.schema)
     sink(rows, last)
     history = spark.read.parquet(f"{sink.root}/onset_alerts")
@@ -170,11 +170,31 @@ def test_onset_sink(spark, feed, tmp_path):
     assert before == (sorted(map(str, history.collect())), str(snapshot), sorted(map(str, sink.sketch_cells().collect())))
 
 
+def test_second_checkpoint_on_the_same_root(spark, feed, tmp_path):
+    """Batch numbers start again with a new checkpoint; nothing of the first run is lost."""
+    now, root = lambda: F.lit("2024-02-01").cast("timestamp"), str(tmp_path / "sink")
+    feed.add(days("Meru", 1, 9, 0.4) + days("Embu", 1, 9, 0.1))
+    first = OnsetSink(spark, root, now=now, sketch=Sketch(width=50))
+    run_together([to_onset_sink(windows.totals_72h(feed.stream()), first, str(tmp_path / "c1"), trigger=None)])
+    before = spark.read.parquet(f"{root}/onset_alerts").count()
+    total = sum(r["cnt"] for r in first.sketch_cells().collect())
+    feed.add(days("Kitui", 1, 12, 0.5))
+    second = OnsetSink(spark, root, now=now, sketch=Sketch(width=50))
+    run_together([to_onset_sink(windows.totals_72h(feed.stream()), second, str(tmp_path / "c2"), trigger=None)])
+    history = spark.read.parquet(f"{root}/onset_alerts")
+    assert history.select("run").distinct().count() == 2 and history.count() > before
+    assert {r["county"] for r in second.snapshots.read().collect()} == {"Meru", "Kitui"}
+    newest = {r["county"]: r["t"] for r in history.filter("onset_flag").groupBy("county").agg(F.max("window_end").alias("t")).collect()}
+    assert {r["county"]: r["alert_timestamp"] for r in second.snapshots.read().collect()} == newest
+    assert sum(r["cnt"] for r in second.sketch_cells().collect()) > total
+    assert spark.read.parquet(f"{root}/top_counties").count() >= 4
+
+
 def test_empty_batch_writes_nothing(spark, tmp_path):
     sink = OnsetSink(spark, str(tmp_path / "sink"))
     empty = windows.totals_72h(spark.createDataFrame([], SCHEMA))
     sink(empty, 3)
-    assert sorted(os.listdir(sink.root)) == ["snapshot"]
+    assert sorted(os.listdir(sink.root)) == ["sketch", "snapshot"]
 
 
 def test_failure_stops_the_others(spark, feed, tmp_path):
