@@ -98,13 +98,17 @@ class SeasonalModel:
     """Least squares on trend and Fourier terms, one fit per key.
 
     The normal equations are sums over rows, so Spark adds them up with partial
-    aggregation and only one small matrix per key is solved. A ridge term steadies
-    terms that a short series cannot identify.
+    aggregation and only one small matrix per key is solved. Intercept and trend are free;
+    a seasonal coefficient has a normal prior of ``prior`` times the spread of the series.
+    A season is used only if the series spans at least ``cycles`` of its periods: less
+    cannot tell it from the trend. The interval counts the noise and the uncertainty of
+    the coefficients, so it widens beyond the data.
     """
 
     yearly: int = 3
     daily: int = 0
-    ridge: float = 1e-3
+    prior: float = 10.0
+    cycles: float = 2.0
     interval: float = 1.96
 
     def terms(self, time: Column) -> list[Column]:
@@ -120,8 +124,17 @@ class SeasonalModel:
     def size(self) -> int:
         return 2 + 2 * (self.yearly + self.daily)
 
+    @property
+    def penalty(self) -> float:
+        """What a seasonal coefficient adds to the diagonal of the normal equations."""
+        return 1 / self.prior**2 if math.isfinite(self.prior) else 0.0
+
     def fit(self, df: DataFrame, key: str, time: str, value: str) -> DataFrame:
-        """(key, coef, sigma, last_ds) per key."""
+        """(key, coef, sigma, spread, used, last_ds) per key.
+
+        ``spread`` is the inverse of the penalised normal equations, row by row, and
+        ``used`` tells which terms the span of the series supports.
+        """
         rows = df.filter(F.col(value).isNotNull() & F.col(time).isNotNull())
         x = [f"_x{i}" for i in range(self.size)]
         named = rows.select(
@@ -134,40 +147,65 @@ class SeasonalModel:
             F.sum(F.col("_y") * F.col("_y")).alias("yy"),
             F.array(*[F.sum(F.col(a) * F.col("_y")) for a in x]).alias("xy"),
             F.array(*[F.sum(F.col(a) * F.col(b)) for a, b in pairs]).alias("xx"),
+            (F.unix_seconds(F.max("_t")) - F.unix_seconds(F.min("_t"))).alias("span"),
             F.max("_t").alias("last_ds"),
         )
-        size, ridge = self.size, self.ridge
+        size, penalty = self.size, self.penalty
+        needs = [0.0, 1.0]
+        for period, order in ((YEAR_SECONDS, self.yearly), (DAY_SECONDS, self.daily)):
+            needs += [self.cycles * period] * (2 * order)
 
         def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             upper = np.triu_indices(size)
             for batch in batches:
-                coefs, sigmas = [], []
-                for n, yy, xy, xx in zip(batch["n"], batch["yy"], batch["xy"], batch["xx"]):
+                made = {"coef": [], "sigma": [], "spread": [], "used": []}
+                for n, yy, xy, xx, span in zip(batch["n"], batch["yy"], batch["xy"], batch["xx"], batch["span"]):
                     gram = np.zeros((size, size))
                     gram[upper] = xx
                     gram = gram + np.triu(gram, 1).T
-                    coef = np.linalg.solve(gram + ridge * np.eye(size), np.asarray(xy))
+                    used = np.array(needs) <= span
+                    at = np.flatnonzero(used)
+                    ridge = np.diag(np.where(at < 2, 0.0, penalty))
+                    inverse = np.zeros((size, size))
+                    # as many rows as terms may still leave the equations without one solution
+                    inverse[np.ix_(at, at)] = np.linalg.pinv(gram[np.ix_(at, at)] + ridge, rcond=1e-14, hermitian=True)
+                    coef = inverse @ np.asarray(xy)
                     sse = yy - 2 * coef @ np.asarray(xy) + coef @ gram @ coef
-                    coefs.append(coef.tolist())
-                    sigmas.append(float(np.sqrt(max(sse, 0.0) / max(n - size, 1))))
-                yield pd.DataFrame(
-                    {key: batch[key], "coef": coefs, "sigma": sigmas, "last_ds": batch["last_ds"]}
-                )
+                    made["coef"].append(coef.tolist())
+                    made["sigma"].append(float(np.sqrt(max(sse, 0.0) / max(n - len(at), 1))))
+                    made["spread"].append(inverse.ravel().tolist())
+                    made["used"].append(used.tolist())
+                yield pd.DataFrame({key: batch[key], **made, "last_ds": batch["last_ds"]})
 
         return moments.mapInPandas(
-            solve, f"{key} string, coef array<double>, sigma double, last_ds timestamp"
+            solve,
+            f"{key} string, coef array<double>, sigma double, spread array<double>, used array<boolean>, last_ds timestamp",
         )
 
     def predict(self, df: DataFrame, fitted: DataFrame, key: str, time: str) -> DataFrame:
         """Add yhat and its interval; evaluated in the JVM from the coefficients."""
-        rows = join_checked(df, fitted.drop("last_ds"), [key])
-        yhat = F.lit(0.0)
-        for i, term in enumerate(self.terms(F.col(time))):
-            yhat = yhat + F.col("coef")[i] * term
-        half = self.interval * F.col("sigma")
+        rows = join_checked(df, fitted.drop("last_ds", "used"), [key])
+        terms, size = self.terms(F.col(time)), self.size
+        x = [f"_x{i}" for i in range(size)]
+        rows = rows.withColumns(dict(zip(x, terms)))
+        yhat, unsure = F.lit(0.0), F.lit(0.0)
+        for i in range(size):
+            yhat = yhat + F.col("coef")[i] * F.col(x[i])
+            for j in range(size):
+                unsure = unsure + F.col("spread")[i * size + j] * F.col(x[i]) * F.col(x[j])
+        half = self.interval * F.col("sigma") * F.sqrt(1 + F.greatest(unsure, F.lit(0.0)))
+        rows = rows.withColumns({"yhat": yhat, "_half": half})
         return rows.withColumns(
-            {"yhat": yhat, "yhat_lower": yhat - half, "yhat_upper": yhat + half}
-        ).drop("coef", "sigma")
+            {"yhat_lower": F.col("yhat") - F.col("_half"), "yhat_upper": F.col("yhat") + F.col("_half")}
+        ).drop("coef", "sigma", "spread", "_half", *x)
+
+    def with_history(self, df: DataFrame, key: str, time: str, value: str, periods: int) -> DataFrame:
+        """(key, time, value, yhat, its interval, residual): every past row, then ``periods`` month starts."""
+        fitted = self.fit(df, key, time, value)
+        past = self.predict(df.select(key, time, value), fitted, key, time)
+        ahead = self.forecast(fitted, key, periods).withColumnRenamed("ds", time)
+        rows = past.unionByName(ahead, allowMissingColumns=True)
+        return rows.withColumn("residual", F.col(value) - F.col("yhat"))
 
     def forecast(self, fitted: DataFrame, key: str, periods: int, step: str = "1 month") -> DataFrame:
         """Predictions at the next month starts, or at fixed steps after the last row."""

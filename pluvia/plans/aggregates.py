@@ -362,7 +362,12 @@ def cms_error_report(t):
     return NARROW.error_report(NARROW.build(_users(t), "user"), exact)
 
 
-@query("cms_builtin")
+@query(
+    "cms_builtin",
+    sql(f"SELECT {i('count(*)', 'total')}, {i('count(DISTINCT county)', 'keys')}, count(*) > 0 AS has_sketch FROM readings", "readings"),
+)
 def cms_builtin(t):
+    """The built-in sketch of all counties: what it has counted, and that it holds something."""
+    keys = t.readings().agg(F.count_distinct("county")).scalar()
     rows = builtin_sketch(t.readings(), "county", 0.0027, 0.993, 42)
-    return rows.select(F.length("sketch").alias("sketch_bytes"), "total")
+    return rows.select("total", keys.alias("keys"), (F.length("sketch") > 0).alias("has_sketch"))

@@ -5,17 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pluvia.operators import ml
-from pluvia.operators.aggregates import error_metrics
 from pluvia.operators.filters import trailing_from_latest
 from pluvia.operators.windows import category_codes, row_lags, with_category_code
 from pluvia.plans.projections import SERIES
-from pluvia.plans.registry import i, query
+from pluvia.plans.registry import d, i, query, ts
 from pluvia.plans.tables import sql
 from pluvia.session import new_folder
 
-# Rows-only queries keep the fit short; the library default is 100 trees.
-TREES = 10
-
 POSITION = """SELECT reading_id, county, row_number() OVER (PARTITION BY county ORDER BY ds, reading_id) - 1 AS pos,
   count(*) OVER (PARTITION BY county) AS n FROM enriched"""
 SPLIT_SQL = sql(
@@ -61,20 +57,72 @@ def folds(t):
     return ml.time_series_folds(t.enriched(), *SERIES).select("reading_id", "fold", "role")
 
 
-@query("ml_seasonal_forecast")
+def _seasonal_check(t, model: ml.SeasonalModel, periods: int, step: str = "1 month"):
+    """Per county: forecasts made, whether the penalised normal equations hold, and whether every
+    forecast lies within the range of the series, give or take its interval."""
+    rows = t.enriched()
+    fitted = model.fit(rows, "county", "ds", "y")
+    terms = [f"x{i}" for i in range(model.size)]
+    past = model.predict(rows, fitted, "county", "ds").withColumns(dict(zip(terms, model.terms(F.col("ds")))))
+    error = F.col("y") - F.col("yhat")
+    sums = past.groupBy("county").agg(
+        F.array(*[F.sum(error * F.col(x)) for x in terms]).alias("left"),
+        F.array(*[F.sum(F.abs(F.col("y") * F.col(x))) for x in terms]).alias("scale"),
+        F.min("y").alias("low"),
+        F.max("y").alias("high"),
+    )
+    holds = F.lit(True)
+    for k in range(model.size):
+        pull = F.col("coef")[k] * (model.penalty if k > 1 else 0.0)
+        solved = F.abs(F.col("left")[k] - pull) <= 1e-6 * F.col("scale")[k] + 1e-9
+        holds = holds & F.when(F.col("used")[k], solved).otherwise(F.col("coef")[k] == 0)
+    known = fitted.join(sums, "county")
+    ahead = model.forecast(fitted, "county", periods, step).join(sums, "county")
+    inside = (F.col("yhat_upper") >= F.col("low")) & (F.col("yhat_lower") <= F.col("high"))
+    seen = ahead.groupBy("county").agg(F.count(F.lit(1)).alias("periods"), F.bool_and(inside).alias("in_range"))
+    return known.select("county", holds.alias("equations_hold")).join(seen, "county")
+
+
+def _seasonal_sql(periods: int) -> str:
+    return sql(
+        f"""SELECT county, {i(str(periods), "periods")}, bool_and(isfinite(y)) AS equations_hold,
+        max(y) >= min(y) AS in_range FROM enriched GROUP BY county""",
+        "enriched",
+    )
+
+
+@query("ml_seasonal_forecast", _seasonal_sql(12))
 def seasonal_forecast(t):
-    """Twelve month starts ahead per county."""
-    model = ml.SeasonalModel(yearly=3)
-    fitted = model.fit(t.enriched(), "county", "ds", "y")
-    return model.forecast(fitted, "county", 12)
+    """Twelve month starts ahead per county; a short series supports the trend alone."""
+    return _seasonal_check(t, ml.SeasonalModel(yearly=3), 12)
 
 
-@query("ml_seasonal_forecast_daily")
+@query("ml_seasonal_forecast_daily", _seasonal_sql(56))
 def seasonal_forecast_daily(t):
     """The single-site form: yearly and daily terms, 56 six-hour steps."""
-    model = ml.SeasonalModel(yearly=1, daily=3)
-    fitted = model.fit(t.enriched(), "county", "ds", "y")
-    return model.forecast(fitted, "county", 56, "6 hours")
+    return _seasonal_check(t, ml.SeasonalModel(yearly=1, daily=3), 56, "6 hours")
+
+
+@query(
+    "ml_seasonal_history",
+    sql(
+        f"""SELECT e.county, {i("count(*)", "rows")}, {i("12", "ahead")}, {d("avg(abs(y - (a + b * x)))", "mae")}, {d("round(max(b), 2)", "slope")}
+        FROM timed e JOIN line USING (county) GROUP BY e.county""",
+        "enriched",
+        timed=f"SELECT *, (epoch(ds) - {ml.ORIGIN}) / CAST({ml.YEAR_SECONDS} AS DOUBLE) AS x FROM enriched",
+        line="SELECT county, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM timed GROUP BY county",
+    ),
+)
+def seasonal_history(t):
+    """Fitted values for the whole history and twelve month starts: the mean error, and the trend
+    alone, which is the regression line."""
+    model = ml.SeasonalModel(yearly=0)
+    rows = model.with_history(t.enriched(), "county", "ds", "y", 12)
+    slope = model.fit(t.enriched(), "county", "ds", "y").select("county", F.round(F.col("coef")[1], 2).alias("slope"))
+    past = F.col("y").isNotNull()
+    return rows.groupBy("county").agg(
+        F.count_if(past).alias("rows"), F.count_if(~past).alias("ahead"), F.avg(F.abs("residual")).alias("mae")
+    ).join(slope, "county")
 
 
 def training_rows(t):
@@ -83,55 +131,122 @@ def training_rows(t):
     return with_category_code(lagged, codes, "county", "county_cat")
 
 
-@query("ml_gbt_regression")
+_fitted: dict[tuple[str, str, str], object] = {}
+
+
+def fitted_once(t, name: str, rows):
+    """A model of 100 trees on a folder's rows, fit once for all queries of a session."""
+    key = (t.spark.sparkContext.applicationId, t.folder, name)
+    if key not in _fitted:
+        held = rows.persist()
+        _fitted[key] = ml.fit_boosted(held)
+        held.unpersist()
+    return _fitted[key]
+
+
+LAGGED = "SELECT *, lag(y, 4) OVER (PARTITION BY county ORDER BY ds, reading_id) AS lag4 FROM enriched"
+SERIES_SPREAD = "SELECT min(y) AS low, max(y) AS high FROM enriched"
+
+
+@query(
+    "ml_gbt_regression",
+    sql(
+        f"""SELECT county, {i("count(*) FILTER (pos < floor(CAST(0.8 AS DOUBLE) * n))", "train_rows")},
+        {i("count(*) FILTER (pos >= floor(CAST(0.8 AS DOUBLE) * n))", "test_rows")}, stddev_pop(y) > 0 AS near_the_mean
+        FROM (SELECT *, row_number() OVER (PARTITION BY county ORDER BY ds, reading_id) - 1 AS pos, count(*) OVER (PARTITION BY county) AS n
+          FROM lagged WHERE lag4 IS NOT NULL) GROUP BY county""",
+        "enriched",
+        lagged=LAGGED,
+    ),
+)
 def gbt_regression(t):
-    rows = training_rows(t)
-    parts = ml.chrono_split(rows, *SERIES)
-    model = ml.fit_boosted(parts.filter("role = 'train'"), trees=TREES)
-    return error_metrics(ml.score(model, parts.filter("role = 'test'")), ["county"])
+    """Per county: the split, and whether the error on all later rows is at most 30 % above their spread."""
+    parts = ml.chrono_split(training_rows(t), *SERIES)
+    model = fitted_once(t, "first", parts.filter("role = 'train'"))
+    counts = parts.groupBy("county").agg(
+        F.count_if(F.col("role") == "train").alias("train_rows"), F.count_if(F.col("role") == "test").alias("test_rows")
+    )
+    scored = ml.score(model, parts.filter("role = 'test'"))
+    error = F.sqrt(F.avg((F.col("y") - F.col("yhat")) ** 2))
+    near = scored.agg((error <= 1.3 * F.stddev_pop("y")).alias("near")).scalar()
+    return counts.withColumn("near_the_mean", near)
 
 
-@query("ml_feature_importance")
+@query(
+    "ml_feature_importance",
+    sql(
+        f"""SELECT unnest([{", ".join(f"'{n}'" for n in ml.LAG_FEATURES)}]) AS feature, high > low AS is_share, high > low AS sum_is_one
+        FROM spread""",
+        "enriched",
+        spread=SERIES_SPREAD,
+    ),
+)
 def importance(t):
+    """Every input of the model; shares are at least 0 and add up to 1."""
     rows = training_rows(t)
-    return ml.feature_importance(rows, ml.fit_boosted(rows, trees=TREES))
+    shares = ml.feature_importance(rows, fitted_once(t, "all", rows))
+    whole = shares.agg(F.sum("importance")).scalar()
+    return shares.select(
+        "feature", F.col("importance").between(0, 1).alias("is_share"), (F.abs(whole - 1) < 1e-9).alias("sum_is_one")
+    )
 
 
-@query("ml_batch_score")
+@query(
+    "ml_batch_score",
+    sql(
+        f"""SELECT reading_id, county, {d("y", "y")}, y BETWEEN low AND high AS in_range FROM lagged, spread WHERE lag4 IS NOT NULL""",
+        "enriched",
+        lagged=LAGGED,
+        spread=SERIES_SPREAD,
+    ),
+)
 def batch_score(t):
-    """Fit, store, load and score the whole table."""
+    """Fit, store, load and score the whole table; predictions stay within a fifth of the range around what was seen."""
     rows = training_rows(t)
     path = new_folder(t.spark, "model")
-    ml.save_model(ml.fit_boosted(rows, trees=TREES), path)
-    return ml.score(ml.load_model(path), rows).select("reading_id", "county", "y", "yhat")
+    ml.save_model(fitted_once(t, "all", rows), path)
+    scored = ml.score(ml.load_model(path), rows)
+    seen = t.enriched().agg(F.struct(F.min("y").alias("low"), F.max("y").alias("high"))).scalar()
+    margin = 0.2 * (F.col("s.high") - F.col("s.low"))
+    inside = F.col("yhat").between(F.col("s.low") - margin, F.col("s.high") + margin)
+    return scored.withColumn("s", seen).select("reading_id", "county", "y", inside.alias("in_range"))
 
 
 @query(
     "ml_model_store",
     sql(
-        f"""SELECT {i("0", "differing")}, {i("count(*)", "rows")} FROM
-        (SELECT lag(y, 4) OVER (PARTITION BY county ORDER BY ds, reading_id) AS lag4 FROM enriched) WHERE lag4 IS NOT NULL""",
+        f"""SELECT {i("0", "differing")}, {i("count(*)", "rows")} FROM lagged WHERE lag4 IS NOT NULL""",
         "enriched",
+        lagged=LAGGED,
     ),
 )
 def model_store(t):
     """A stored and reloaded model gives the same predictions on every row."""
     rows, path = training_rows(t), new_folder(t.spark, "model")
-    model = ml.fit_boosted(rows, trees=TREES)
+    model = fitted_once(t, "all", rows)
     ml.save_model(model, path)
     fitted = ml.score(model, rows).withColumnRenamed("yhat", "before")
     both = ml.load_model(path).transform(fitted)
     return both.agg(F.count_if(F.col("before") != F.col("yhat")).alias("differing"), F.count(F.lit(1)).alias("rows"))
 
 
-@query("ml_model_compare")
+@query(
+    "ml_model_compare",
+    sql(
+        f"""SELECT reading_id, county, {ts("ds", "ds")}, {d("y", "y")}, isfinite(y) AS both_predict FROM lagged
+        WHERE lag4 IS NOT NULL AND ds >= (SELECT max(ds) FROM lagged WHERE lag4 IS NOT NULL) - INTERVAL 14 DAY""",
+        "enriched",
+        lagged=LAGGED,
+    ),
+)
 def model_compare(t):
-    """Both models against the last 14 days: errors per county."""
+    """Actual value and both predictions at each time of the last 14 days; both models end before them."""
     rows = training_rows(t)
-    seasonal = ml.SeasonalModel(yearly=1, daily=3)
-    fitted = seasonal.fit(t.enriched(), "county", "ds", "y")
     recent = trailing_from_latest(rows, "ds", 14)
-    boosted = ml.score(ml.fit_boosted(rows, trees=TREES), recent)
-    left = error_metrics(boosted, ["county"]).select("county", F.col("mae").alias("boosted_mae"))
-    right = error_metrics(seasonal.predict(recent, fitted, "county", "ds"), ["county"])
-    return left.join(right.select("county", F.col("mae").alias("seasonal_mae")), "county")
+    cut = rows.agg(F.max("ds")).scalar() - F.make_dt_interval(F.lit(14))
+    seasonal = ml.SeasonalModel(yearly=1, daily=3)
+    fitted = seasonal.fit(t.enriched().filter(F.col("ds") < cut), "county", "ds", "y")
+    boosted = ml.score(fitted_once(t, "before", rows.filter(F.col("ds") < cut)), recent)
+    aligned = seasonal.predict(boosted.withColumnRenamed("yhat", "boosted"), fitted, "county", "ds")
+    both = F.col("boosted").isNotNull() & F.col("yhat").isNotNull() & ~F.isnan("yhat") & ~F.isnan("boosted")
+    return aligned.select("reading_id", "county", "ds", "y", both.alias("both_predict"))

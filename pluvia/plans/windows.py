@@ -295,7 +295,19 @@ def union_files(t):
     return union_all(parts)
 
 
-@query("sample_rows")
+@query(
+    "sample_rows",
+    sql(f"SELECT county, {i('count(*)', 'rows')}, count(*) = count(reading_id) AS is_subset, count(*) > 0 AS share_fits FROM readings GROUP BY county", "readings"),
+)
 def sample_rows(t):
+    """A tenth of each county: every sampled row is a row of the table, and the share is within five
+    standard deviations of a tenth."""
     shares = {n: 0.1 for n in COUNTY_NAMES}
-    return sample_by_county(t.readings(), shares, seed=7).select("reading_id", "county")
+    taken = sample_by_county(t.readings(), shares, seed=7).select("reading_id", F.lit(True).alias("taken"))
+    known = t.readings().select("reading_id", "county").join(taken, "reading_id", "left")
+    strange = taken.join(t.readings().select("reading_id"), "reading_id", "left_anti").agg(F.count(F.lit(1))).scalar()
+    n, got = F.count(F.lit(1)), F.count("taken")
+    fits = F.abs(got - 0.1 * n) <= 5 * F.sqrt(0.09 * n) + 1
+    return known.groupBy("county").agg(n.alias("rows"), fits.alias("share_fits")).select(
+        "county", "rows", (strange == 0).alias("is_subset"), "share_fits"
+    )

@@ -45,7 +45,7 @@ def test_seasonal_model_recovers_a_known_curve(spark):
     seconds = F.unix_seconds("ds").cast("double") - ml.ORIGIN
     curve = 20 + 0.5 * seconds / ml.YEAR_SECONDS + 3 * F.sin(2 * math.pi * seconds / ml.YEAR_SECONDS)
     df = series(spark, 4 * 365 * 3).withColumn("y", curve)
-    model = ml.SeasonalModel(yearly=2, ridge=1e-9)
+    model = ml.SeasonalModel(yearly=2, prior=math.inf)
     fitted = model.fit(df, "k", "ds", "y")
     coef = fitted.first()["coef"]
     assert coef == pytest.approx([20, 0.5, 3, 0, 0, 0], abs=1e-3)
@@ -61,7 +61,7 @@ def test_seasonal_model_equals_least_squares(spark):
     y = rng.normal(size=200)
     values = spark.createDataFrame([(i, float(v)) for i, v in enumerate(y)], "id bigint, y double")
     df = series(spark, 200).join(values, "id")
-    model = ml.SeasonalModel(yearly=0, daily=1, ridge=0.0)
+    model = ml.SeasonalModel(yearly=0, daily=1, prior=math.inf)
     got = model.fit(df, "k", "ds", "y").first()
     t = np.arange(200) * 21_600 + 1_600_000_000 - ml.ORIGIN
     angle = 2 * np.pi * t / ml.DAY_SECONDS
@@ -71,6 +71,19 @@ def test_seasonal_model_equals_least_squares(spark):
     assert got["sigma"] == pytest.approx(float(np.sqrt(sse[0] / 196)), rel=1e-6)
 
 
+def test_a_short_series_supports_no_year(spark):
+    """A month of noise: no yearly terms, and an interval that widens with the distance."""
+    df = series(spark, 120).withColumn("y", F.rand(3) * 10)
+    model = ml.SeasonalModel(yearly=3)
+    fitted = model.fit(df, "k", "ds", "y")
+    row = fitted.first()
+    assert row["used"] == [True, True] + [False] * 6 and row["coef"][2:] == [0.0] * 6
+    ahead = model.forecast(fitted, "k", 12).orderBy("ds").collect()
+    widths = [r["yhat_upper"] - r["yhat_lower"] for r in ahead]
+    assert widths == sorted(widths) and widths[-1] > 2 * widths[0]
+    assert all(r["yhat_upper"] >= 0 and r["yhat_lower"] <= 10 for r in ahead)
+
+
 def test_boosted_trees_learn_store_and_load(spark, tmp_path):
     df = series(spark, 300).withColumns(
         {"a": (F.col("id") % 7).cast("double"), "b": F.lit(1.0), "y": (F.col("id") % 7).cast("double") * 2}
