@@ -73,17 +73,17 @@ def describe(
     df: DataFrame, columns: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """count, mean, std, min, exact quartiles and max, one row per column."""
+    def plain(c: str) -> Column:
+        x = F.col(c).cast("double")
+        named = {"count": F.count(x), "mean": F.avg(x), "std": F.stddev(x), "min": F.min(x), "max": F.max(x)}
+        return F.struct(F.lit(c).alias("column"), *[f.alias(n) for n, f in named.items()])
+
+    # One wide aggregate for all columns; only the quartiles need a row per value.
+    stats = df.agg(F.array(*[plain(c) for c in columns]).alias("s")).select(F.inline("s"))
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     )
     long = df.select(F.inline(pairs))
-    stats = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
     quartiles = quantiles(
         long, ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, rows_per_task=rows_per_task
     )

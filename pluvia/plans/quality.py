@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pluvia.operators import quality as q
+from pluvia.operators.ordered import quantiles
 from pluvia.plans import common
 from pluvia.plans.registry import d, i, query, ts
 from pluvia.plans.tables import sql
@@ -93,7 +94,7 @@ def sustained_breach(t):
     buckets = t.raw("events").select(
         F.window("ts", "6 hours").start.alias("minute"), F.col("event_type").alias("endpoint"), "value"
     )
-    p95 = q.quantiles(buckets, ["minute", "endpoint"], "value", {"p95": 0.95})
+    p95 = quantiles(buckets, ["minute", "endpoint"], "value", {"p95": 0.95})
     return q.sustained_breaches(p95, ["endpoint"], 120.0, 3, step_seconds=21_600)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,10 +85,11 @@ def parquet_scan(t):
     sql(f"SELECT {ts('observation_date', 'ds')}, county, {d('cum_72hr_mm', 'y')} FROM history", "history"),
 )
 def table_scan(t):
-    t.history().createOrReplaceTempView("historical_onset")
-    return t.spark.table("historical_onset").select(
-        F.col("observation_date").alias("ds"), "county", F.col("cum_72hr_mm").alias("y")
-    )
+    name = f"historical_onset_{uuid.uuid4().hex}"
+    t.history().createOrReplaceTempView(name)
+    rows = t.spark.table(name).select(F.col("observation_date").alias("ds"), "county", F.col("cum_72hr_mm").alias("y"))
+    t.spark.catalog.dropTempView(name)
+    return rows
 
 
 @query("src_kafka_stream", sql(f"SELECT {READING_COLUMNS} FROM readings", "readings"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from pluvia.plans import common
@@ -9,6 +10,7 @@ from pluvia.plans.registry import d, i, query, ts
 from pluvia.plans.sinks import TUMBLING_3H, TUMBLING_COLUMNS, closed, drain_to_files
 from pluvia.plans.tables import sql
 from pluvia.session import new_folder, state_session
+from pluvia.sinks.writers import write_batch
 from pluvia.streaming import windows
 from pluvia.streaming.jobs import run_together, to_files
 
@@ -121,26 +123,94 @@ def hourly_dedup(t):
     return windows.dedup_hourly(t.readings()).select("county", "hour", "reading_id", "precipitation")
 
 
+# A poller repeats the value of the hour each minute: here every reading carries it.
+POLLED = "(CAST(floor(epoch(event_time) / 3600) AS BIGINT) % 7) * CAST(0.3 AS DOUBLE)"
+POLLED_72H = f"""SELECT county, time_bucket(INTERVAL '72 hours', hour, TIMESTAMP '1970-01-01') AS window_start,
+  time_bucket(INTERVAL '72 hours', hour, TIMESTAMP '1970-01-01') + INTERVAL '72 hours' AS window_end,
+  sum(rain) AS cum, count(*) AS n, sum(rain) >= 20 AND min(rain) > 0 AS flag
+FROM (SELECT DISTINCT county, date_trunc('hour', event_time) AS hour, {POLLED} AS rain FROM readings) GROUP BY ALL"""
+POLLED_COLUMNS = (
+    f"county, {ts('window_start', 'window_start')}, {d('cum', 'cum_72hr_mm')}, {i('n', 'event_count')}, flag AS onset_flag"
+)
+
+
+def _polled(events):
+    hours = F.floor(F.unix_seconds("event_time") / 3600)
+    return events.withColumn("precipitation", (hours % 7) * F.lit(0.3))
+
+
+def _onset_columns(rows):
+    return rows.select("county", "window_start", "cum_72hr_mm", "event_count", "onset_flag")
+
+
+@query("stream_dedup_onset_72h", sql(f"SELECT {POLLED_COLUMNS} FROM polled", "readings", polled=POLLED_72H))
+def dedup_onset(t):
+    """One reading per county and hour before the 72-hour rule, so that repeats do not count as rain."""
+    return _onset_columns(windows.onset_72h_of_hours(_polled(t.readings())))
+
+
+@query(
+    "stream_dedup_onset_72h_live",
+    sql(f"SELECT {POLLED_COLUMNS} FROM polled WHERE {closed('4 hours')}", "readings", polled=POLLED_72H),
+)
+def dedup_onset_live(t):
+    """The same on a stream: duplicates dropped within the watermark, then the windows."""
+    return _onset_columns(drain_to_files(t, windows.onset_72h_of_hours(_polled(t.event_stream()))))
+
+
+PERIODS = ("2024-01-11", "2024-01-21")
+
+
+def _periods(t) -> list:
+    """The readings in three parts, one after the other in time."""
+    first, second = (F.lit(day).cast("timestamp") for day in PERIODS)
+    e, rows = F.col("event_time"), t.readings()
+    return [rows.filter(e < first), rows.filter((e >= first) & (e < second)), rows.filter(e >= second)]
+
+
 @query(
     "stream_recovery",
     sql(f"SELECT {TUMBLING_COLUMNS} FROM w WHERE {closed('30 minutes')}", "readings", w=TUMBLING_3H),
 )
 def recovery(t):
-    """The same checkpoint started twice: the second run finds nothing new to append."""
-    out, checkpoint = new_folder(t.spark, "stream"), new_folder(t.spark, "checkpoint")
-    for _ in range(2):
-        df = windows.tumbling_3h(t.event_stream())
-        run_together([to_files(df, out, checkpoint, trigger=None)])
-    return t.spark.read.schema(df.schema).parquet(out)
+    """Three runs of one checkpoint with new input before each; the second fails after it has written a
+    batch, and the third repeats that batch before it goes on."""
+    feed, out, checkpoint = (new_folder(t.spark, x) for x in ("feed", "stream", "checkpoint"))
+    for number, part in enumerate(_periods(t)):
+        part.write.mode("append").parquet(feed)
+        events = state_session(t.spark).readStream.schema(part.schema).parquet(feed)
+        df = windows.tumbling_3h(events)
+
+        def keep(batch, batch_id, fails=number == 1):
+            write_batch(batch, out, "0", batch_id)
+            if fails:
+                raise RuntimeError("lost after writing")
+
+        writer = df.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
+        try:
+            run_together([writer.trigger(availableNow=True).start()])
+        except StreamingQueryException:
+            if number != 1:
+                raise
+    return t.spark.read.schema(df.schema).parquet(out).select(*df.columns)
 
 
 @query(
     "stream_replay",
-    sql(f"SELECT {TUMBLING_COLUMNS} FROM w WHERE {closed('30 minutes')}", "readings", w=TUMBLING_3H),
+    sql(
+        f"SELECT {TUMBLING_COLUMNS} FROM w WHERE {closed('30 minutes')}",
+        "readings",
+        w=TUMBLING_3H.replace("FROM readings", f"FROM readings WHERE event_time >= TIMESTAMP '{PERIODS[0]}'"),
+    ),
 )
 def replay(t):
-    """A backfill from the start of the source with a fresh checkpoint."""
-    return drain_to_files(t, windows.tumbling_3h(t.event_stream()))
+    """A backfill with a fresh checkpoint from a later start, file by file in the order of time."""
+    feed = new_folder(t.spark, "feed")
+    for part in _periods(t):
+        part.coalesce(1).write.mode("append").parquet(feed)
+    reader = state_session(t.spark).readStream.schema(part.schema).option("maxFilesPerTrigger", 1)
+    events = reader.parquet(feed).filter(F.col("event_time") >= F.lit(PERIODS[0]).cast("timestamp"))
+    return drain_to_files(t, windows.tumbling_3h(events))
 
 
 @query(

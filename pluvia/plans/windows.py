@@ -17,6 +17,7 @@ from pluvia.plans.tables import sql
 from pluvia.schemas import COUNTY_NAMES
 from pluvia.session import new_folder
 from pluvia.sinks.writers import overwrite_parquet
+from pluvia.sources.files import newest_n_files
 from pluvia.sources.payloads import forecast_onset, parse_payload, trailing_snapshot
 from pluvia.streaming.windows import onset_exact
 
@@ -295,6 +296,25 @@ def union_files(t):
     return union_all(parts)
 
 
+@query(
+    "set_union_newest_files",
+    sql(
+        f"""SELECT county, {ts("window_start", "window_start")}, {d("cum_72hr_mm", "cum_72hr_mm")} FROM windows_72h
+        WHERE window_start >= TIMESTAMP '2024-01-16'""",
+        "readings",
+        windows_72h=common.WINDOWS_72H,
+    ),
+)
+def union_newest_files(t):
+    """Three periods appended to one folder, one file each; the two newest files are read."""
+    rows, path = common.windows_72h(t).select("county", "window_start", "cum_72hr_mm"), new_folder(t.spark, "parts")
+    first, second = (F.lit(day).cast("timestamp") for day in ("2024-01-16", "2024-01-22"))
+    start = F.col("window_start")
+    for period in (start < first, (start >= first) & (start < second), start >= second):
+        rows.filter(period).coalesce(1).write.mode("append").parquet(path)
+    return newest_n_files(rows, path, 2)
+
+
 @query(
     "sample_rows",
     sql(f"SELECT county, {i('count(*)', 'rows')}, count(*) = count(reading_id) AS is_subset, count(*) > 0 AS share_fits FROM readings GROUP BY county", "readings"),

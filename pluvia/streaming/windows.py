@@ -92,14 +92,18 @@ def totals_72h(events: DataFrame, late: str = LATE_72H) -> DataFrame:
     return _flat(
         events.withWatermark("event_time", late)
         .groupBy(F.window("event_time", "72 hours"), "county")
-        .agg(
-            F.sum("precipitation").alias("cum_72hr_mm"),
-            F.min("precipitation").alias("min_precipitation"),
-            F.count(F.lit(1)).alias("event_count"),
-        )
+        .agg(*_totals())
     )
 
 
+def _totals() -> list[Column]:
+    return [
+        F.sum("precipitation").alias("cum_72hr_mm"),
+        F.min("precipitation").alias("min_precipitation"),
+        F.count(F.lit(1)).alias("event_count"),
+    ]
+
+
 def flag_onsets(totals: DataFrame) -> DataFrame:
     return totals.withColumn(
         "onset_flag", onset_flag(F.col("cum_72hr_mm"), F.col("min_precipitation"))
@@ -160,3 +164,15 @@ def dedup_hourly(events: DataFrame, late: str = LATE_72H) -> DataFrame:
         .agg(F.min_by(F.struct(*values), order).alias("_row"))
         .select("county", "_row.*", "hour")
     )
+
+
+def onset_72h_of_hours(events: DataFrame, late: str = LATE_72H) -> DataFrame:
+    """The stream rule over one reading per county and hour, whatever a poller repeats.
+
+    Windows begin at full hours, so all repeats of an hour fall into the same one. On a stream
+    the watermark of the first step goes on to the second.
+    """
+    hours = dedup_hourly(events, late)
+    if not events.isStreaming:
+        return onset_72h(hours, late)
+    return flag_onsets(_flat(hours.groupBy(F.window("event_time", "72 hours"), "county").agg(*_totals())))

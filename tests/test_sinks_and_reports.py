@@ -7,7 +7,7 @@ from pluvia.operators import aggregates, filters, joins, quality, windows
 from pluvia.operators.onset import onset_by_rows, onset_trailing
 from pluvia.schemas import SNAPSHOT
 from pluvia.sinks import writers
-from pluvia.sources import payloads
+from pluvia.sources import files, payloads
 
 
 def at(text):
@@ -106,6 +106,20 @@ def test_absent_fields_are_null(spark):
     assert parsed["pressure_hpa"] == 990.0 and parsed["cum_72hr_mm"] == 2.0
 
 
+def test_station_opens_one_folder_and_newest_files_are_few(spark, tmp_path):
+    rows = spark.range(60).select("id", F.concat(F.lit("c"), F.col("id") % 3).alias("county"))
+    path = str(tmp_path / "by")
+    writers.overwrite_parquet(rows, path, ("county",))
+    one = filters.by_station(spark.read.parquet(path), "c1")
+    assert "PartitionFilters: [isnotnull(county" in plan(one) and one.count() == 20
+    parts = str(tmp_path / "parts")
+    for k in range(4):
+        rows.filter(F.col("id") % 4 == k).coalesce(1).write.mode("append").parquet(parts)
+    newest = files.newest_n_files(rows, parts, 2)
+    assert {r["id"] % 4 for r in newest.collect()} == {2, 3} and len(newest.inputFiles()) == 2
+    assert files.newest_n_files(rows, parts, 0).count() == 0
+
+
 def test_years_and_trailing_days_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "h")
     spark.createDataFrame([(1, "1996-06-01"), (2, "2001-07-01")], "id int, t string").withColumn(
