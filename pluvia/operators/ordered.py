@@ -3,14 +3,14 @@
 ``Window.partitionBy(key)`` puts a whole key into one task. That is the right plan
 while every key is small and the wrong one when a county holds a third of the data,
 so each operator first measures its largest key. Up to ``rows_per_task`` rows it is a
-plain window. Beyond that the rows are range-partitioned on (keys, order), which cuts
-a large key into several blocks of about equal size wherever its rows lie, and only
-small per-block summaries travel between blocks. ``order`` must be unique within a
-key: it makes results repeatable and lets the range split even a single busy instant.
-
-The ranged rows are written once to the shared folder. Both passes over them (the
-rows and the block summaries) therefore see the same blocks, also after an executor
-is lost and tasks run again.
+plain window. Beyond that, each busy key gets cut points: rows whose hash falls into
+a fixed share of all hashes, ordered as the key is. They divide it into cells, and the
+exact count of every cell says which cells form a block of about ``rows_per_task`` rows
+and which of them a later block needs to look back at. The block of a row is a function
+of the row and of its key's cuts, so nothing is written, every pass and every repeated
+task sees the same blocks, and one exchange on (keys, block) with one sort does the work.
+Keys that are not busy are one block. ``order`` must be unique within a key: it makes
+results repeatable and lets even a single busy instant be cut.
 """
 
 from __future__ import annotations
@@ -20,9 +20,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pluvia.session import new_folder
-
 ROWS_PER_TASK = 5_000_000
+CELLS = 8  # expected cells per block
 BLOCK = "_block"
 
 
@@ -32,11 +31,40 @@ def _key_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return (row[0] or 0, row[1] or 0)
 
 
-def _split(df: DataFrame, keys: Sequence[str], order: Sequence[str], blocks: int) -> DataFrame:
-    ranged = df.repartitionByRange(blocks, *keys, *order).withColumn(BLOCK, F.spark_partition_id())
-    folder = new_folder(df.sparkSession, "ranged")
-    ranged.write.parquet(folder)
-    return df.sparkSession.read.schema(ranged.schema).parquet(folder)
+def _with(rows: DataFrame, few: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Attach a table of one row per key; null keys match. AQE broadcasts a small one."""
+    renamed = few.withColumnsRenamed({k: f"_s_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_s_{k}"))
+    return rows.join(renamed, on, how).drop(*[f"_s_{k}" for k in keys])
+
+
+def _cell(order: Sequence[str]) -> Column:
+    """How many cuts are at or before the row: first among the heads of groups of cuts, then in one group."""
+    here = F.struct(*order)
+
+    def upto(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: c <= here))
+
+    group = upto(F.transform("_groups", lambda g: g[0]))
+    inside = upto(F.element_at("_groups", F.greatest(group, F.lit(1))))
+    return F.when(group == 0, 0).otherwise((group - 1) * F.col("_width") + inside)
+
+
+def _cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_task: int) -> DataFrame:
+    """The cut points of every busy key, in groups of about the square root of their number."""
+    every = max(1, rows_per_task // CELLS)
+    busy = df.groupBy(*keys).count().filter(F.col("count") > rows_per_task)
+    share = F.pmod(F.xxhash64(*keys, *order), F.lit(every)) == 0
+    points = df.filter(share).groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct(*order))).alias("_points"))
+    found = _with(busy, points, keys, "inner")
+    width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("_points")))).cast("int")
+    groups = F.transform(
+        F.sequence(F.lit(0), F.ceil(F.size("_points") / F.col("_width")).cast("int") - 1),
+        lambda g: F.slice("_points", g * F.col("_width") + 1, F.col("_width")),
+    )
+    return found.withColumn("_width", width).withColumn("_groups", groups).drop("_points", "count")
 
 
 def blocks_of(
@@ -45,50 +73,48 @@ def blocks_of(
     order: Sequence[str],
     rows_per_task: int,
     sizes: tuple[int, int] | None = None,
+    back: int = 0,
 ) -> DataFrame | None:
-    """The rows with a block number, or None where every key fits one task."""
-    total, largest = sizes or _key_sizes(df, keys)
+    """The rows with a block number, or None where every key fits one task.
+
+    ``_home`` is false for the copies of rows that a later block needs: the ``back`` rows
+    before it, and the rest of their cells. ``_ahead`` counts the rows of the key in earlier
+    cells and ``_whole`` those of the whole key (null for keys of one block).
+    """
+    keys, order = list(keys), list(order)
+    _, largest = sizes or _key_sizes(df, keys)
     if largest <= rows_per_task:
         return None
-    return _split(df, keys, order, -(-total // rows_per_task))
+    cuts = _cuts(df, keys, order, rows_per_task)
+    counts = _with(df.select(*keys, *[c for c in order if c not in keys]), cuts, keys, "inner")
+    counts = counts.groupBy(*keys, _cell(order).alias("_no")).count()
+    key = Window.partitionBy(*keys)
+    earlier = key.orderBy("_no").rowsBetween(Window.unboundedPreceding, -1)
+    cells = counts.withColumns(
+        {"_ahead": F.coalesce(F.sum("count").over(earlier), F.lit(0)), "_whole": F.sum("count").over(key)}
+    )
+    entry = F.struct("_ahead", "count")
+    # one entry per cell, in a map since a cell may be empty
+    table = cells.groupBy(*keys, "_whole").agg(F.map_from_entries(F.collect_list(F.struct("_no", entry))).alias("_cells"))
+    plan = _with(cuts, table, keys, "inner")
+    cell = F.col("_cells")[F.col("_c")]
+    low = F.floor(F.col("_e._ahead") / rows_per_task)
+    high = F.floor((F.col("_e._ahead") + F.col("_e.count") + (back - 1)) / rows_per_task)
+    blocks = F.sequence(low, F.greatest(low, high)) if back else F.array(low)
+    rows = _with(df, plan, keys, "left").withColumn("_c", F.when(F.col("_groups").isNotNull(), _cell(order)))
+    rows = rows.withColumn("_e", cell).select(
+        *df.columns,
+        F.col("_e._ahead").alias("_ahead"),
+        "_whole",
+        F.posexplode(F.when(F.col("_e").isNotNull(), blocks).otherwise(F.array(F.lit(0).cast("bigint")))).alias("_far", BLOCK),
+    )
+    return rows.withColumn("_home", F.col("_far") == 0).drop("_far")
 
 
 def _desc(order: Sequence[str]) -> list[Column]:
     return [F.col(c).desc() for c in order]
 
 
-def _preceding(blocks: DataFrame, keys: list[str], order: list[str], back: int) -> DataFrame:
-    """For every block of a key, the ``back`` rows of that key just before the block.
-
-    Only the last ``back`` rows (tails) and the first row (head) of each block matter.
-    Tails are numbered along the key; a head knows how many came before it and joins
-    the last ``back`` of them, from several blocks where blocks are short.
-    """
-    cols = blocks.columns
-    newest = Window.partitionBy(*keys, BLOCK).orderBy(*_desc(order))
-    oldest = Window.partitionBy(*keys, BLOCK).orderBy(*order)
-    tails = blocks.withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") <= back)
-    heads = blocks.withColumn("_r", F.row_number().over(oldest)).filter(F.col("_r") == 1)
-    edges = tails.withColumn("_head", F.lit(False)).unionByName(heads.withColumn("_head", F.lit(True)))
-    along = (
-        Window.partitionBy(*keys)
-        .orderBy(*order, F.col("_head").desc())
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    numbered = edges.withColumn("_no", F.sum(F.when(F.col("_head"), 0).otherwise(1)).over(along))
-    first_wanted = F.greatest(F.col("_no") - (back - 1), F.lit(1))
-    wanted = numbered.filter(F.col("_head") & (F.col("_no") > 0)).select(
-        *[F.col(k).alias(f"_w_{k}") for k in keys],
-        F.col(BLOCK).alias("_to"),
-        F.explode(F.sequence(first_wanted, F.col("_no"))).alias("_want"),
-    )
-    on = F.col("_no") == F.col("_want")
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_w_{k}"))
-    placed = numbered.filter(~F.col("_head")).join(wanted, on)
-    return placed.select(*[F.col("_to").alias(BLOCK) if c == BLOCK else F.col(c) for c in cols])
-
-
 def _join_blocks(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
     """Attach per-(key, block) values; null keys match. AQE broadcasts a small summary."""
     renamed = summary.withColumnsRenamed({c: f"_s_{c}" for c in [*keys, BLOCK]})
@@ -117,6 +143,13 @@ def _add_offset(
     return joined.withColumn(name, F.col(name) + F.col("_offset")).drop("_offset")
 
 
+def _place(blocks_window: Window, keys: list[str], own: Column) -> Column:
+    """The 0-based place of a row in its key, from the rows before its block."""
+    before = F.min(F.when(F.col("_home"), F.col("_ahead"))).over(Window.partitionBy(*keys, BLOCK))
+    inside = F.sum(own).over(blocks_window.rowsBetween(Window.unboundedPreceding, 0)) - 1
+    return F.coalesce(before, F.lit(0)) + inside
+
+
 def over_rows(
     df: DataFrame,
     keys: Sequence[str],
@@ -132,26 +165,18 @@ def over_rows(
     names an optional column with the 0-based place of the row in its key.
     """
     keys, order = list(keys), list(order)
-    blocks = blocks_of(df, keys, order, rows_per_task)
-    if blocks is None:
+    rows = blocks_of(df, keys, order, rows_per_task, back=back)
+    if rows is None:
         window = Window.partitionBy(*keys).orderBy(*order)
         for columns in make(window):
             df = df.withColumns(columns)
         return df.withColumn(position, F.row_number().over(window) - 1) if position else df
-    rows = blocks.withColumn("_home", F.lit(True)).unionByName(
-        _preceding(blocks, keys, order, back).withColumn("_home", F.lit(False))
-    )
     window = Window.partitionBy(*keys, BLOCK).orderBy(*order)
     for columns in make(window):
         rows = rows.withColumns(columns)
     if position:
-        own = F.when(F.col("_home"), 1).otherwise(0)
-        place = F.sum(own).over(window.rowsBetween(Window.unboundedPreceding, 0)) - 1
-        rows = rows.withColumn(position, place)
-    result = rows.filter("_home").drop("_home")
-    if position:
-        result = _add_offset(result, blocks, keys, F.lit(1), position)
-    return result.drop(BLOCK)
+        rows = rows.withColumn(position, _place(window, keys, F.when(F.col("_home"), 1).otherwise(0)))
+    return rows.filter("_home").drop(BLOCK, "_home", "_ahead", "_whole")
 
 
 def running(
@@ -183,8 +208,15 @@ def running(
         if total:
             columns[total] = F.sum(w).over(key)
         return df.withColumns(columns)
-    rows = blocks.withColumn(name, local(Window.partitionBy(*keys, BLOCK).orderBy(*order)))
-    return _add_offset(rows, blocks, keys, w, name, total).drop(BLOCK)
+    extra = ["_home", "_ahead", "_whole", BLOCK]
+    block = Window.partitionBy(*keys, BLOCK)
+    if weight:
+        rows = blocks.withColumn(name, local(block.orderBy(*order)))
+        return _add_offset(rows, blocks, keys, w, name, total).drop(*extra)
+    columns = {name: _place(block.orderBy(*order), keys, w)}
+    if total:
+        columns[total] = F.coalesce(F.col("_whole"), F.count(F.lit(1)).over(block))
+    return blocks.withColumns(columns).drop(*extra)
 
 
 def fill_next(
@@ -232,7 +264,7 @@ def fill_next(
     )
     joined = _join_blocks(rows, carried, keys)
     return joined.withColumns({c: F.coalesce(c, f"_next_{c}") for c in columns}).drop(
-        BLOCK, *[f"_next_{c}" for c in columns]
+        BLOCK, "_home", "_ahead", "_whole", *[f"_next_{c}" for c in columns]
     )
 
 

@@ -122,11 +122,23 @@ def test_busy_instant_is_split(spark):
     """A key whose rows all share one instant still spreads over blocks of bounded size."""
     data = [("hot", 5, i, 1.0) for i in range(400)] + [(f"k{i}", i, 1000 + i, 1.0) for i in range(200)]
     blocks = ordered.blocks_of(frame(spark, data), ["k"], ["t", "id"], 50)
-    sizes = [r["count"] for r in blocks.groupBy(BLOCK).count().collect()]
+    sizes = [r["count"] for r in blocks.groupBy("k", BLOCK).count().collect()]
     hot = blocks.filter("k = 'hot'").select(BLOCK).distinct().count()
     assert sum(sizes) == 600 and hot >= 6 and max(sizes) <= 120
 
 
+def test_split_is_one_exchange_of_the_rows_and_writes_nothing(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    frame(spark, skewed()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    out = over_rows(rows, ["k"], ["t", "id"], 3, lambda w: [{"l": F.lag("v", 3).over(w)}], "pos", SPLIT)
+    out.count()
+    text = out._jdf.queryExecution().executedPlan().toString()
+    main = text.split("Initial Plan")[-1]
+    assert "hashpartitioning(k" in main and ", _block" in main and "rangepartitioning" not in main
+    assert main.count(", _block") >= 1 and set(out.inputFiles()) == set(rows.inputFiles())
+
+
 def test_small_keys_take_the_plain_window(spark):
     data = [(f"k{i}", i, i, 1.0) for i in range(50)]
     assert ordered.blocks_of(frame(spark, data), ["k"], ["t", "id"], 5) is None
