@@ -22,6 +22,7 @@ BROADCAST_CELLS = 1_000_000
 class Sketch:
     """Shape and hash family; two sketches with equal parameters can be merged."""
 
+    # The published shape and seed.
     width: int = 1000
     depth: int = 5
     seed: int = 42

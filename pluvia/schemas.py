@@ -33,6 +33,7 @@ NEUTRAL_PRESSURE_HPA = 1013.0
 NEUTRAL_TEMP_K = 295.15
 KELVIN_OFFSET = 273.15
 
+# Life of a snapshot row, lag that counts as critical.
 SNAPSHOT_TTL_DAYS = 7
 LAG_CRITICAL = 1000
 
@@ -76,7 +77,7 @@ DAILY = T.StructType(
     + [T.StructField(name, T.ArrayType(T.DoubleType())) for name in DAILY_FIELDS]
 )
 
-# Columns of the climate file and of the snapshot, inputs of the model.
+# Columns of the climate file.
 CLIMATE_CSV = T.StructType(
     [
         T.StructField("lat", T.DoubleType()),
@@ -91,6 +92,7 @@ CLIMATE_CSV = T.StructType(
     ]
 )
 
+# Fields of the snapshot.
 SNAPSHOT = T.StructType(
     [
         T.StructField("county", T.StringType()),
@@ -102,6 +104,7 @@ SNAPSHOT = T.StructType(
     ]
 )
 
+# Columns of the feature table, in its order.
 FEATURES = [
     "lat",
     "lon",
