@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from pluvia.llm.columnar import offsets_of, ranges, text_chunks
 
-ORDER, ALPHA, BLOCK_BYTES = 2, 0.4, 12 << 20
+ORDER, ALPHA, BLOCK_BYTES = 2, 0.4, 10 << 20
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
