@@ -9,7 +9,8 @@ Keys enter in the order of their hash value, so where they go can be told from c
 cut into cells, each with about ``CELL_ROWS`` rows however many there are; Spark counts the rows of every
 cell, the walk along the ring runs over those counts, and its outcome is for every cell a short list of
 (first rank, shard, first slot). A row's rank in its cell then gives its shard and its slot. Nothing
-but counts per cell is ever gathered, and a full shard is skipped in one step.
+but counts per cell is ever gathered, and a full shard is skipped in one step. Whether the short lists
+are sent to every task is left to their size.
 
 Rows that are equal in everything are counted together and numbered afterwards, so no cell grows with
 them. A null key is a key like any other. A null text has no bytes. An empty table gives an empty result.
@@ -24,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARDS, POINTS, CELL_ROWS, CHUNK = 24, 64, 20_000, 100_000
+SHARDS, POINTS, CELL_ROWS, CHUNK = 24, 64, 100_000, 100_000
 BITS = 52
 
 
@@ -119,7 +120,7 @@ def _placed(placed, bounds, slot_of, owner, capacity, step, columns):
     )
     celled = (
         placed.withColumn("_grid", F.floor(F.col("_point") / step))
-        .join(F.broadcast(ring_map), "_grid")
+        .join(ring_map, "_grid")
         .withColumn("_cell", F.col("_first") + F.size(F.filter("_bounds", lambda b: b < F.col("_point"))))
         .drop("_grid", "_first", "_bounds")
     )
@@ -133,7 +134,7 @@ def _placed(placed, bounds, slot_of, owner, capacity, step, columns):
     ranked = celled.withColumn("_end", F.sum("_copies").over(in_cell.rowsBetween(Window.unboundedPreceding, 0)))
     begin = F.col("_end") - F.col("_copies")
     low, high = F.greatest(begin, F.col("_from")), F.least("_end", F.col("_to"))
-    joined = ranked.join(F.broadcast(plan), "_cell").where(low < high)
+    joined = ranked.join(plan, "_cell").where(low < high)
     chunks = F.sequence(low, high - 1, F.lit(CHUNK))
     return (
         joined.select(*columns, "shard", (F.col("_slot") - F.col("_from")).alias("_shift"), high.alias("_high"), F.explode(chunks).alias("_at"))

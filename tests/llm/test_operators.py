@@ -372,7 +372,7 @@ def test_rates_with_a_floor_and_against_a_plain_solver(spark):
 def slow_rates(p, tokens, want, least):
     """Plain projected gradient on the squared residuals, in weights of tokens."""
     r, size = np.ones(len(p)), 1 / np.linalg.eigvalsh((p * tokens[:, None]).T @ p).max()
-    for _ in range(20_000):
+    for _ in range(4000):
         r = np.maximum(least, r - size * (p @ ((p * (r * tokens)[:, None]).sum(axis=0) - want)))
     return r
 
