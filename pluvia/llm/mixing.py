@@ -62,9 +62,11 @@ def fit(grams: np.ndarray, stats: np.ndarray, domain: np.ndarray, domains: int,
         return Softmax(w.astype(np.float64), mean, spread)
     # letter counts are small numbers: scaled up they learn as fast as the statistics
     scale = 6.0
-    x = np.hstack([grams * scale, (stats - mean) / spread, np.ones((len(domain), 1))]).astype(np.float32)
+    x = np.ones((len(domain), len(w)), np.float32)
+    np.multiply(grams, np.float32(scale), out=x[:, :DIMENSIONS], dtype=np.float32)
+    x[:, DIMENSIONS:-1] = (stats - mean) / spread
     y = np.eye(domains, dtype=np.float32)[domain]
-    step = np.float32(8.0 / ((x * x).sum() / len(x)))
+    step = np.float32(8.0 * len(x) / np.einsum("ij,ij->", x, x))
     before = w
     for k in range(1, rounds + 1):
         ahead = w + np.float32((k - 1) / (k + 2)) * (w - before)
@@ -94,17 +96,24 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Softmax:
     )
 
     def make(batch: pa.RecordBatch) -> list[pa.Array]:
-        rows = []
+        grams, stats = [], []
         for _, _, d, o in text_chunks(batch.column(batch.schema.get_field_index("text")), most=ROWS):
-            rows += [r.tobytes() for r in np.hstack([ngrams(d, o), statistics(d, o)]).astype("<f4")]
-        return [pa.array(rows, pa.binary())]
+            grams += [r.tobytes() for r in ngrams(d, o).astype("<f2")]
+            stats += [r.tobytes() for r in statistics(d, o).astype("<f4")]
+        return [pa.array(grams, pa.binary()), pa.array(stats, pa.binary())]
 
     # at most ``sample`` rows of two numbers go to every task
     known = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = add_columns(known, [("x", T.BinaryType())], make, ["doc_id", "domain"])
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(sample).select("domain", "x").toArrow()
-    x = np.frombuffer(b"".join(rows.column(1).to_pylist()), "<f4").reshape(rows.num_rows, DIMENSIONS + len(STATISTICS))
-    return fit(x[:, :DIMENSIONS], x[:, DIMENSIONS:].astype(np.float64), np.asarray(rows.column(0), np.int64), len(DOMAINS))
+    fields = [("grams", T.BinaryType()), ("stats", T.BinaryType())]
+    rows = add_columns(known, fields, make, ["doc_id", "domain"])
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "stats").limit(sample).select("domain", "grams", "stats").toArrow()
+    domain = np.asarray(rows.column(0), np.int64)
+    stats = np.frombuffer(b"".join(rows.column(2).to_pylist()), "<f4").reshape(len(domain), len(STATISTICS))
+    grams = np.empty((len(domain), DIMENSIONS), np.float16)
+    for k, packed in enumerate(rows.column(1)):
+        grams[k] = np.frombuffer(packed.as_buffer(), "<f2")
+    del rows
+    return fit(grams, stats.astype(np.float64), domain, len(DOMAINS))
 
 
 def with_membership(docs: DataFrame, model: Softmax, keep: list[str] | None = None) -> DataFrame:
