@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 3 << 20
 
 
 def text_chunks(

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pluvia.llm.columnar import offsets_of
 
 DIMENSIONS = 4096
-ROWS = 1024  # texts whose n-gram counts are held at once
+ROWS = 256  # texts whose n-gram counts are held at once
 MIX = np.uint32(2654435761)
 
 STATISTICS = [

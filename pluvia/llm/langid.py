@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pluvia.llm.columnar import add_columns, bucket, text_chunks
 from pluvia.llm.features import DIMENSIONS, ROWS, ngrams
 
-PER_LANGUAGE = 1500
+PER_LANGUAGE = 1200
 UNKNOWN = "und"
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no"),
@@ -61,7 +61,7 @@ def separate(x: np.ndarray, positive: np.ndarray) -> Machine:
     weight = np.where(positive, n / (2 * max(1, positive.sum())), n / (2 * max(1, (~positive).sum())))
     extra = 1 / (2 * COST * weight)
     w, bias, alpha = np.zeros(x.shape[1], np.float32), 0.0, np.zeros(n)
-    norm = (x * x).sum(axis=1) + 1 + extra
+    norm = np.einsum("ij,ij->i", x, x) + 1 + extra
     turn = np.random.default_rng(7)
     for _ in range(PASSES):
         for k in turn.permutation(n):
@@ -168,8 +168,11 @@ def learn(
     lang = np.array(rows.column(0).to_pylist(), object)
     if not len(lang):
         return Hierarchy([], [], {})
-    x = np.frombuffer(b"".join(rows.column(1).to_pylist()), "<f2").reshape(len(lang), DIMENSIONS)
-    return fit(x.astype(np.float32), lang, families)
+    x = np.empty((len(lang), DIMENSIONS), np.float32)
+    for k, packed in enumerate(rows.column(1)):
+        x[k] = np.frombuffer(packed.as_buffer(), "<f2")
+    del rows
+    return fit(x, lang, families)
 
 
 def with_language(docs: DataFrame, model: Hierarchy, keep: list[str] | None = None) -> DataFrame:
