@@ -7,6 +7,7 @@ inside a text.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -65,6 +66,24 @@ def add_columns(
     return df.mapInArrow(run, schema)
 
 
+def learned(sample: DataFrame, fit: Callable[[pa.Table], object]) -> object | None:
+    """What ``fit`` makes of all rows of ``sample``; None if there are none.
+
+    ``sample`` has a limit that the caller documents. It is gathered in one task, which a lost executor
+    repeats, and only the model comes to the driver.
+    """
+
+    def run(batches):
+        held = [batch for batch in batches if batch.num_rows]
+        if held:
+            table = pa.Table.from_batches(held)
+            held.clear()
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(table))], pa.binary())], names=["model"])
+
+    made = sample.coalesce(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else None
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers start, start + 1, ... of every range, one range after the other."""
     ends = np.cumsum(lengths)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pluvia.llm.columnar import add_columns, bucket, text_chunks
+from pluvia.llm.columnar import add_columns, bucket, learned, text_chunks
 from pluvia.llm.features import DIMENSIONS, ROWS, ngrams
 
 PER_LANGUAGE = 1200
@@ -164,15 +164,16 @@ def learn(
 
     rows = add_columns(known, [("x", T.BinaryType())], make, ["doc_id", "lang"])
     # repeated rows hash alike and may exceed the share; the limit holds the bound
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(per_language * len(counts)).select("lang", "x").toArrow()
-    lang = np.array(rows.column(0).to_pylist(), object)
-    if not len(lang):
-        return Hierarchy([], [], {})
-    x = np.empty((len(lang), DIMENSIONS), np.float32)
-    for k, packed in enumerate(rows.column(1)):
-        x[k] = np.frombuffer(packed.as_buffer(), "<f2")
-    del rows
-    return fit(x, lang, families)
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(per_language * len(counts)).select("lang", "x")
+
+    def taught(table: pa.Table) -> Hierarchy:
+        lang = np.array(table.column(0).to_pylist(), object)
+        x = np.empty((len(lang), DIMENSIONS), np.float32)
+        for k, packed in enumerate(table.column(1)):
+            x[k] = np.frombuffer(packed.as_buffer(), "<f2")
+        return fit(x, lang, families)
+
+    return learned(rows, taught) or Hierarchy([], [], {})
 
 
 def with_language(docs: DataFrame, model: Hierarchy, keep: list[str] | None = None) -> DataFrame:

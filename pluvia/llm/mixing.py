@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pluvia.llm.columnar import add_columns, text_chunks
+from pluvia.llm.columnar import add_columns, learned, text_chunks
 from pluvia.llm.features import DIMENSIONS, ROWS, STATISTICS, ngrams, statistics
 from pluvia.session import new_folder
 
@@ -106,14 +106,18 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Softmax:
     known = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     fields = [("grams", T.BinaryType()), ("stats", T.BinaryType())]
     rows = add_columns(known, fields, make, ["doc_id", "domain"])
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "stats").limit(sample).select("domain", "grams", "stats").toArrow()
-    domain = np.asarray(rows.column(0), np.int64)
-    stats = np.frombuffer(b"".join(rows.column(2).to_pylist()), "<f4").reshape(len(domain), len(STATISTICS))
-    grams = np.empty((len(domain), DIMENSIONS), np.float16)
-    for k, packed in enumerate(rows.column(1)):
-        grams[k] = np.frombuffer(packed.as_buffer(), "<f2")
-    del rows
-    return fit(grams, stats.astype(np.float64), domain, len(DOMAINS))
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "stats").limit(sample).select("domain", "grams", "stats")
+
+    def taught(table: pa.Table) -> Softmax:
+        domain = np.asarray(table.column(0), np.int64)
+        stats = np.frombuffer(b"".join(table.column(2).to_pylist()), "<f4").reshape(len(domain), len(STATISTICS))
+        grams = np.empty((len(domain), DIMENSIONS), np.float16)
+        for k, packed in enumerate(table.column(1)):
+            grams[k] = np.frombuffer(packed.as_buffer(), "<f2")
+        return fit(grams, stats.astype(np.float64), domain, len(DOMAINS))
+
+    nothing = np.zeros((0, len(STATISTICS)))
+    return learned(rows, taught) or fit(np.zeros((0, DIMENSIONS)), nothing, np.zeros(0, np.int64), len(DOMAINS))
 
 
 def with_membership(docs: DataFrame, model: Softmax, keep: list[str] | None = None) -> DataFrame:

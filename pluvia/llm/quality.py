@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pluvia.llm.columnar import add_columns, bucket, text_chunks
+from pluvia.llm.columnar import add_columns, bucket, learned, text_chunks
 from pluvia.llm.features import STATISTICS, statistics
 
 SAMPLE = 20_000
@@ -120,11 +120,14 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, sam
         .orderBy(F.xxhash64("doc_id"), "doc_id", "statistics")
         .limit(sample)
         .select("y", "statistics")
-        .toArrow()
     )
-    y = np.asarray(rows.column(0), np.float64)
-    x = np.asarray(rows.column(1).combine_chunks().flatten(), np.float64).reshape(len(y), len(STATISTICS))
-    return fit(x, y)
+
+    def taught(table: pa.Table) -> Trees:
+        y = np.asarray(table.column(0), np.float64)
+        x = np.asarray(table.column(1).combine_chunks().flatten(), np.float64).reshape(len(y), len(STATISTICS))
+        return fit(x, y)
+
+    return learned(rows, taught) or fit(np.zeros((0, len(STATISTICS))), np.zeros(0))
 
 
 def with_quality(docs: DataFrame, model: Trees, keep: list[str] | None = None, name: str = "score") -> DataFrame:
