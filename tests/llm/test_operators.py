@@ -531,3 +531,12 @@ def test_backoff_scores(docs, rows, empty, order):
     for a, b in zip(sorted(got, key=repr), sorted(want, key=repr), strict=True):
         assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6 * max(1, abs(b[2]))
     assert lm.op10_backoff(empty).count() == 0
+
+
+def test_learned_in_one_task(spark):
+    from pluvia.llm.columnar import learned
+
+    rows = spark.range(0, 1000, 1, 7)
+    assert learned(rows, lambda table: (table.num_rows, sum(table.column(0).to_pylist()))) == (1000, 499_500)
+    assert learned(rows.orderBy("id").limit(10), lambda table: table.num_rows) == 10
+    assert learned(rows.where("id < 0"), lambda table: table.num_rows) is None
