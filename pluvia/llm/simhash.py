@@ -22,53 +22,25 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pluvia.llm.columnar import add_columns, ranges, text_chunks
+from pluvia.llm.columnar import add_columns, text_chunks
 from pluvia.llm.components import connected
-from pluvia.session import new_folder
+from pluvia.llm.shingles import best_of_each, near_duplicates, numbered_rows, shingle_hashes, written
 
-SEED, SHINGLE, LIMIT = 42, 4, 4
+__all__ = ["near_duplicates", "one_of_each", "op7_simhash"]  # the first is that of the corpus, by similarity
+
+SHINGLE, LIMIT = 4, 4
 WIDTHS = (13, 13, 13, 13, 12)  # bits of the segments, from the lowest
 SHIFTS = (0, 13, 26, 39, 52)
 BUCKET = 4096
 
-_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
-_SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
-
-
 def fingerprints(data: np.ndarray, offsets: np.ndarray, words: int = SHINGLE) -> np.ndarray:
     """One unsigned 64-bit fingerprint for each text."""
     rows = len(offsets) - 1
-    if not len(data):
-        return np.zeros(rows, np.uint64)
-    low = _LOWER[data]
-    first = np.zeros(len(data) + 1, bool)
-    first[offsets] = True
-    inside = ~_SPACE[data]
-    start = inside.copy()
-    start[1:] &= ~inside[:-1] | first[1:-1]
-    stop = inside.copy()
-    stop[:-1] &= ~inside[1:] | first[1:-1]
-    starts, ends = np.flatnonzero(start), np.flatnonzero(stop) + 1
-    row = np.searchsorted(offsets, starts, side="right") - 1
-    # words one after the other, one space behind each
-    length = ends - starts
-    place = np.cumsum(length + 1) - (length + 1)
-    joined = np.full(int((length + 1).sum()), 32, np.uint8)
-    joined[ranges(place, length)] = low[ranges(starts, length)]
-    many = np.bincount(row, minlength=rows)
-    begin = np.cumsum(many) - many
-    count = np.where(many > 0, np.maximum(1, many - words + 1), 0)
-    head = ranges(begin, count)
-    owner = np.repeat(np.arange(rows), count)
-    tail = np.minimum(head + words - 1, (begin + many - 1)[owner])
-    text, one = joined.tobytes(), xxhash.xxh64_intdigest
-    pairs = zip(place[head].tolist(), (place[tail] + length[tail]).tolist())
-    hashes = np.fromiter((one(text[a:b], SEED) for a, b in pairs), np.uint64, len(head))
+    hashes, count = shingle_hashes(data, offsets, words)
     out = np.zeros(rows, np.uint64)
     top = offsets_top = np.concatenate([[0], np.cumsum(count)])
     some = np.flatnonzero(count > 0)
@@ -240,37 +212,19 @@ def components(marked: DataFrame) -> DataFrame:
     return linked.join(least, "root").select("fp", "root", "component_id")
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def fingerprint_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id) for every row of (doc_id, text); component_id is the smallest doc_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = _written(with_fingerprint(docs, ["doc_id"]), "fingerprints")
+    marked = written(with_fingerprint(docs, ["doc_id"]), "fingerprints")
     return marked.join(components(marked).select("fp", "component_id"), "fp")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of each component, with all its columns: that of the smallest doc_id (null last), then of
-    the smallest hash of the text; of rows equal in both, any one."""
-    number = F.xxhash64("doc_id", "text")
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), number.alias("_row"))
-    marked = _written(with_fingerprint(rows, ["doc_id", "_row"]), "fingerprints")
-    best = (
-        marked.join(components(marked).select("fp", "root"), "fp")
-        .groupBy("root")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("best"))
-        .select(F.col("best.doc_id").alias("_id"), F.col("best._row").alias("_best"))
-    )
-    numbered = docs.withColumn("_row", number)
-    same = numbered["doc_id"].eqNullSafe(best["_id"]) & (numbered["_row"] == best["_best"])
-    kept = numbered.join(best, same, "left_semi").dropDuplicates(["doc_id", "_row"])
-    return kept.select([F.col(f"`{c}`") for c in docs.columns])
+    """One row of each component, with all its columns, as told in ``best_of_each``."""
+    marked = written(with_fingerprint(numbered_rows(docs), ["doc_id", "_row"]), "fingerprints")
+    return best_of_each(docs, marked.join(components(marked).select("fp", "root"), "fp"))
 
 
 def op7_simhash(docs: DataFrame) -> DataFrame:
     """One row per document: its fingerprint and its component of links at 4 or fewer bits."""
-    return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return fingerprint_groups(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
