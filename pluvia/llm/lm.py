@@ -173,9 +173,7 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, bl
     )
 
 
-def op10_backoff(docs: DataFrame) -> DataFrame:
-    """One row per document: its words, and the logarithm of its score and the mean of it per word."""
-    scored = backoff_scores(docs)
+def _means(scored: DataFrame) -> DataFrame:
     return scored.select(
         "doc_id",
         "n_words",
@@ -184,6 +182,16 @@ def op10_backoff(docs: DataFrame) -> DataFrame:
     )
 
 
+def op10_backoff(docs: DataFrame) -> DataFrame:
+    """One row per document: its words, and the logarithm of its score and the mean of it per word."""
+    return _means(backoff_scores(docs))
+
+
+def op10_backoff_order3(docs: DataFrame) -> DataFrame:
+    """``op10_backoff`` with two words of context, so that trigrams count."""
+    return _means(backoff_scores(docs, order=3))
+
+
 # Rows are numbered first, as each row is a document of its own.
 ORACLE = r"""
 WITH d AS (
@@ -216,3 +224,35 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, round(coalesce(t.x, 0), 4
        round(CASE WHEN len(d.ws) > 0 THEN t.x / len(d.ws) ELSE 0 END, 6) + CAST(0 AS DOUBLE) AS mean_log_score
 FROM d LEFT JOIN t USING (k)
 """
+
+ORACLE_ORDER3 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[\x20\x09-\x0D]+') IF x <> ''] AS ws
+  FROM documents
+), p AS (
+  SELECT k, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM d WHERE len(ws) > 0
+), b AS (
+  SELECT *, lag(w) OVER (PARTITION BY k ORDER BY i) AS h, lag(w, 2) OVER (PARTITION BY k ORDER BY i) AS g FROM p
+), e AS (
+  SELECT *, count(*) OVER (PARTITION BY w) - count(*) OVER (PARTITION BY k, w) AS c1,
+         CASE WHEN h IS NOT NULL THEN count(*) OVER (PARTITION BY h, w) - count(*) OVER (PARTITION BY k, h, w) ELSE 0 END AS c2,
+         CASE WHEN g IS NOT NULL THEN count(*) OVER (PARTITION BY g, h, w) - count(*) OVER (PARTITION BY k, g, h, w) ELSE 0 END AS c3
+  FROM b
+), s AS (
+  SELECT e.*, greatest(1, (SELECT count(*) FROM p) - len(d.ws)) AS n,
+         lag(c1) OVER (PARTITION BY k ORDER BY i) AS h1, lag(c2) OVER (PARTITION BY k ORDER BY i) AS h2
+  FROM e JOIN d USING (k)
+), v AS (
+  SELECT k, CASE WHEN c3 > 0 THEN ln(c3 / CAST(h2 AS DOUBLE))
+                 ELSE CASE WHEN g IS NULL THEN 0 ELSE ln(CAST(0.4 AS DOUBLE)) END
+                      + CASE WHEN c2 > 0 THEN ln(c2 / CAST(h1 AS DOUBLE))
+                             ELSE CASE WHEN h IS NULL THEN 0 ELSE ln(CAST(0.4 AS DOUBLE)) END
+                                  + ln((CASE WHEN c1 > 0 THEN c1 ELSE CAST(0.4 AS DOUBLE) END) / CAST(n AS DOUBLE)) END END AS x
+  FROM s
+), t AS (SELECT k, sum(x) AS x FROM v GROUP BY k)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, round(coalesce(t.x, 0), 4) + CAST(0 AS DOUBLE) AS log_score,
+       round(CASE WHEN len(d.ws) > 0 THEN t.x / len(d.ws) ELSE 0 END, 6) + CAST(0 AS DOUBLE) AS mean_log_score
+FROM d LEFT JOIN t USING (k)
+"""

@@ -42,6 +42,7 @@ QUERIES = {
     "op8_quality": lambda s, d: quality.op8_quality(_table(s, d, "documents"), _table(s, d, "labels")),
     "op9_bpe": lambda s, d: bpe.op9_bpe(_table(s, d, "documents"), _vocabulary()),
     "op10_backoff": lambda s, d: lm.op10_backoff(_table(s, d, "documents")),
+    "op10_backoff_order3": lambda s, d: lm.op10_backoff_order3(_table(s, d, "documents")),
 }
 
-ORACLE_SQL = {"op2_topk": topk.ORACLE, "op10_backoff": lm.ORACLE}
+ORACLE_SQL = {"op2_topk": topk.ORACLE, "op10_backoff": lm.ORACLE, "op10_backoff_order3": lm.ORACLE_ORDER3}
