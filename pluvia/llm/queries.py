@@ -9,9 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import pluvia
-from pluvia.llm import ann, bpe, langid, lm, mixing, packing, quality, sharding, simhash, topk
+from pluvia.llm import align, ann, bpe, langid, lm, merkle, mixing, packing, quality, sharding, simhash, topk, weighted
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def workers_find_package(spark: SparkSession) -> None:
@@ -27,8 +28,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _vocabulary() -> str:
-    return public_tokenizers.path(VOCABULARY)
+def _vocabulary(name: str = VOCABULARY) -> str:
+    return public_tokenizers.path(name)
 
 
 QUERIES = {
@@ -43,6 +44,14 @@ QUERIES = {
     "op9_bpe": lambda s, d: bpe.op9_bpe(_table(s, d, "documents"), _vocabulary()),
     "op10_backoff": lambda s, d: lm.op10_backoff(_table(s, d, "documents")),
     "op10_backoff_order3": lambda s, d: lm.op10_backoff_order3(_table(s, d, "documents")),
+    "op11_align": lambda s, d: align.op11_align(_table(s, d, "documents"), _vocabulary(), _vocabulary(PIECES)),
+    "op12_merkle": lambda s, d: merkle.op12_merkle(_table(s, d, "documents")),
+    "op13_fingerprint": lambda s, d: weighted.op13_fingerprint(_table(s, d, "documents")),
 }
 
-ORACLE_SQL = {"op2_topk": topk.ORACLE, "op10_backoff": lm.ORACLE, "op10_backoff_order3": lm.ORACLE_ORDER3}
+ORACLE_SQL = {
+    "op2_topk": topk.ORACLE,
+    "op10_backoff": lm.ORACLE,
+    "op10_backoff_order3": lm.ORACLE_ORDER3,
+    "op12_merkle": merkle.ORACLE,
+}
