@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,9 @@ from pluvia.session import new_folder
 
 CHUNKS_PER_BLOCK = 3
 SLICE_TOKENS = 1 << 20
-SLICE_PAIRS = 1 << 22
+SLICE_PAIRS = 1 << 21
+CROWDED = 1 << 8
+CROWDED_ROWS = 1 << 8  # each meets the distinct ids of one group, some 30,000 at most
 SPACE = 0x20
 PAIRS = "block long, a int, b int, documents long"
 DIGITS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
@@ -79,10 +82,12 @@ class PieceBPE:
         column = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
         coded = column.dictionary_encode()
         # the model adds the first space itself, but makes nothing of a text that is nothing else
-        units = [u[1:].decode() for u in coded.dictionary.to_pylist()]
-        made = [m if u else [self.alone] for u, m in zip(units, self.model.encode(units, num_threads=1))]
-        counts = np.array([len(m) for m in made], np.int64)
-        ids = np.fromiter((i for m in made for i in m), np.int32, int(counts.sum()))
+        units = pc.utf8_slice_codeunits(coded.dictionary.cast(pa.string()), 1).to_pylist()
+        made = self.model.encode(units, num_threads=1)
+        if "" in units:
+            made[units.index("")] = [self.alone]
+        counts = np.fromiter(map(len, made), np.int64, len(made))
+        ids = np.fromiter(chain.from_iterable(made), np.int32, int(counts.sum()))
         code = coded.indices.to_numpy()
         out = ids[ranges(offsets_of(counts)[:-1][code], counts[code])]
         return out, offsets_of(counts[code])[np.searchsorted(starts, offsets)]
@@ -141,45 +146,53 @@ def encode_both(docs: DataFrame, a: str, b: str, text: str = "text") -> DataFram
 
 
 def _ends(lists: pa.Array, width: np.ndarray) -> pa.Table:
-    """The tokens of all lists: document, id, and the offset in its text where it ends."""
-    ids, doc = pc.list_flatten(lists), pc.list_parent_indices(lists)
-    total = pc.cumulative_sum(pa.array(width[ids.to_numpy()]))
-    before = np.concatenate([[0], total.to_numpy()])[lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()]
-    return pa.table({"doc": doc.cast(pa.int64()), "id": ids, "end": pc.subtract(total, pa.array(before[doc.to_numpy()], pa.int64()))})
+    """The tokens of all lists: document, id, and a key of the document and the offset in its text where it ends."""
+    ids, doc = pc.list_flatten(lists), pc.list_parent_indices(lists).to_numpy().astype(np.int64)
+    total = pc.cumulative_sum(pa.array(width[ids.to_numpy()])).to_numpy()
+    before = np.concatenate([[0], total])[lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()]
+    return pa.table({"doc": doc, "id": ids, "key": (doc << 40) | (total - before[doc])})
 
 
 def _grouped(a: pa.Array, b: pa.Array, widths: tuple[np.ndarray, np.ndarray]) -> tuple[pa.Table, pa.Table, np.ndarray]:
     """Tokens of both sides with their ``group``, numbered through all documents, and the groups of each document."""
     left, right = _ends(a, widths[0]), _ends(b, widths[1])
-    shared = left.select(["doc", "end"]).join(right.select(["doc", "end"]), keys=["doc", "end"], join_type="inner", use_threads=False)
-
-    def place(table: pa.Table) -> np.ndarray:
-        return (table["doc"].to_numpy() << 40) | table["end"].to_numpy()
-
-    cuts = np.sort(place(shared))
-    both = [t.append_column("group", pa.array(np.searchsorted(cuts, place(t)))) for t in (left, right)]
+    shared = left.select(["key"]).join(right.select(["key"]), keys="key", join_type="inner", use_threads=False)
+    cuts = np.sort(shared["key"].to_numpy())
+    both = [t.append_column("group", pa.array(np.searchsorted(cuts, t["key"].to_numpy()))) for t in (left, right)]
     return both[0], both[1], np.bincount(cuts >> 40, minlength=len(a))
 
 
 def _linked(left: pa.Table, right: pa.Table) -> Iterator[pa.Table]:
-    """(doc, a, b, links) of pairs of distinct ids of a group, in tables of bounded size; a pair may come again."""
-    sides = []
-    for table, name in ((left, "a"), (right, "b")):
-        counted = table.group_by(["doc", "group", "id"], use_threads=False).aggregate([([], "count_all")])
-        sides.append(counted.rename_columns(["doc", "group", name, f"n_{name}"]).sort_by("group"))
-    of_a, of_b = sides[0], sides[1].drop_columns(["doc"])
-    group_b = of_b["group"].to_numpy()
-    # how many pairs the rows of A up to this one make
-    made = np.cumsum(np.bincount(group_b, minlength=int(group_b[-1]) + 1 if len(group_b) else 0)[of_a["group"].to_numpy()])
+    """(doc, a, b, links) of linked pairs of ids, in tables of bounded size; a pair may come again.
+
+    A group of many links is reduced to its distinct ids, with their multiplicity, before they are paired.
+    """
+    if not left.num_rows:
+        return
+    group_a, group_b = left["group"].to_numpy(), right["group"].to_numpy()
+    groups = int(group_a[-1]) + 1
+    size_b = np.bincount(group_b, minlength=groups)
+    crowded = np.bincount(group_a, minlength=groups) * size_b > CROWDED
+    first_b, ids_b = offsets_of(size_b)[:-1], right["id"].to_numpy()
+    each = np.where(crowded[group_a], 0, size_b[group_a])
+    made, ids_a, doc = offsets_of(each), left["id"].to_numpy(), left["doc"].to_numpy()
     first = 0
-    while first < len(made):
-        end = max(int(np.searchsorted(made, (made[first - 1] if first else 0) + SLICE_PAIRS, side="right")), first + 1)
-        part = of_a.slice(first, end - first)
-        span = part["group"][0].as_py(), part["group"][-1].as_py()
-        low, high = np.searchsorted(group_b, span[0]), np.searchsorted(group_b, span[1], side="right")
-        pairs = part.join(of_b.slice(low, high - low), keys="group", join_type="inner", use_threads=False)
-        yield pa.table({"doc": pairs["doc"], "a": pairs["a"], "b": pairs["b"], "links": pc.multiply(pairs["n_a"], pairs["n_b"])})
+    while first < len(each):
+        end = max(int(np.searchsorted(made, made[first] + SLICE_PAIRS, side="right")) - 1, first + 1)
+        times, part = each[first:end], slice(first, end)
+        b = ids_b[ranges(first_b[group_a[part]], times)]
+        yield pa.table({"doc": np.repeat(doc[part], times), "a": np.repeat(ids_a[part], times), "b": b, "links": np.ones(len(b), np.int64)})
         first = end
+    if not crowded.any():
+        return
+    sides = []
+    for table, group, name in ((left, group_a, "a"), (right, group_b, "b")):
+        held = table.filter(pa.array(crowded[group])).group_by(["doc", "group", "id"], use_threads=False)
+        sides.append(held.aggregate([([], "count_all")]).rename_columns(["doc", "group", name, f"n_{name}"]))
+    many = sides[1].drop_columns(["doc"])
+    for one in range(0, sides[0].num_rows, CROWDED_ROWS):
+        pairs = sides[0].slice(one, CROWDED_ROWS).join(many, keys="group", join_type="inner", use_threads=False)
+        yield pa.table({"doc": pairs["doc"], "a": pairs["a"], "b": pairs["b"], "links": pc.multiply(pairs["n_a"], pairs["n_b"])})
 
 
 def _slices(a: pa.Array, cuts: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
@@ -235,21 +248,20 @@ def _text_of_groups(left: pa.Table, right: pa.Table, docs: int) -> tuple[bytes,
         ids[at], doc[at] = table["id"].to_numpy(), table["doc"].to_numpy()
     for at, group, sign in ((at_a, group_a, "|"), (at_b, group_b, ";")):
         mark[at[np.append(group[1:] != group[:-1], True)] if len(at) else at] = ord(sign)
-    blob, start, length = _decimals()
-    lengths = length[ids]
+    digits, length = _decimals()
+    rows, lengths = digits[ids], length[ids]
+    rows[np.arange(size), lengths] = mark
     ends = np.cumsum(lengths + 1)
-    out = np.empty(int(ends[-1]) if size else 0, np.uint8)
-    if size:
-        out[ranges(ends - lengths - 1, lengths)] = blob[ranges(start[ids], lengths)]
-        out[ends - 1] = mark
+    out = rows[np.arange(rows.shape[1])[None, :] <= lengths[:, None]]
     return out.tobytes(), np.concatenate([[0], ends])[np.searchsorted(doc, np.arange(docs + 1))]
 
 
 @lru_cache(maxsize=1)
-def _decimals() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _decimals() -> tuple[np.ndarray, np.ndarray]:
+    """The digits of numbers below 65,536, with room for one mark, and how many there are."""
     words = [b"%d" % n for n in range(1 << 16)]
-    lengths = np.array([len(w) for w in words], np.int64)
-    return np.frombuffer(b"".join(words), np.uint8), offsets_of(lengths)[:-1], lengths
+    digits = np.array(words, "S6").view(np.uint8).reshape(len(words), 6)
+    return digits, np.array([len(w) for w in words], np.int64)
 
 
 def alignments(docs: DataFrame, a: str, b: str, text: str = "text", spelled: bool = False) -> DataFrame:
