@@ -38,8 +38,8 @@ from pluvia.llm.columnar import offsets_of, ranges, text_chunks
 from pluvia.session import new_folder
 
 CHUNKS_PER_BLOCK = 3
-SLICE_TOKENS = 1 << 20
-SLICE_PAIRS = 1 << 21
+SLICE_TOKENS = 1 << 17
+SLICE_PAIRS = 1 << 18
 CROWDED = 1 << 8
 CROWDED_ROWS = 1 << 8  # each meets the distinct ids of one group, some 30,000 at most
 SPACE = 0x20
@@ -98,6 +98,11 @@ def vocabularies(a: str, b: str) -> tuple[PlainBPE, PieceBPE]:
     return PlainBPE(a), PieceBPE(b)
 
 
+def _widths(a: str, b: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of every id, which is all that a task needs of vocabularies once texts are encoded."""
+    return tuple(v.word_length.astype(np.int32) for v in vocabularies(a, b))
+
+
 def _spelled(vocabulary: ByteBPE | PieceBPE, ids: np.ndarray) -> np.ndarray:
     return vocabulary.blob[ranges(vocabulary.word_start[ids], vocabulary.word_length[ids])]
 
@@ -148,7 +153,7 @@ def encode_both(docs: DataFrame, a: str, b: str, text: str = "text") -> DataFram
 def _ends(lists: pa.Array, width: np.ndarray) -> pa.Table:
     """The tokens of all lists: document, id, and a key of the document and the offset in its text where it ends."""
     ids, doc = pc.list_flatten(lists), pc.list_parent_indices(lists).to_numpy().astype(np.int64)
-    total = pc.cumulative_sum(pa.array(width[ids.to_numpy()])).to_numpy()
+    total = pc.cumulative_sum(pa.array(width[ids.to_numpy()].astype(np.int64))).to_numpy()
     before = np.concatenate([[0], total])[lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()]
     return pa.table({"doc": doc, "id": ids, "key": (doc << 40) | (total - before[doc])})
 
@@ -209,9 +214,9 @@ def _slices(a: pa.Array, cuts: np.ndarray | None = None) -> Iterator[tuple[int,
 
 def pair_counts(coded: DataFrame, a: str, b: str) -> DataFrame:
     """(block, a, b, documents): partial counts of documents that hold a pair linked."""
+    widths = _widths(a, b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        widths = tuple(v.word_length for v in vocabularies(a, b))
         for batch in batches:
             blocks = batch.column("block").to_numpy()
             cuts = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1]])) if len(blocks) else np.zeros(0, np.int64)
@@ -278,10 +283,10 @@ def alignments(docs: DataFrame, a: str, b: str, text: str = "text", spelled: boo
     partial = spark.read.parquet(paths[1])
     asked = partial.select("block", "a", "b").distinct()
     told = asked.join(corpus_counts(partial), ["a", "b"]).select("block", F.col("a").alias("pa"), F.col("b").alias("pb"), "documents", "best")
-    row_type = coded.schema["row"].dataType
+    row_type, widths = coded.schema["row"].dataType, _widths(a, b)
 
     def tell(rows: pa.Table, told: pa.Table) -> pa.Table:
-        widths, out = tuple(v.word_length for v in vocabularies(a, b)), []
+        out = []
         known = told.select(["pa", "pb", "documents", "best"])
         lists = {side: rows[side].combine_chunks() for side in "ab"}
         for first, end in _slices(lists["a"]):
@@ -304,6 +309,7 @@ def alignments(docs: DataFrame, a: str, b: str, text: str = "text", spelled: boo
             if spelled:
                 columns["groups"] = pa.array([t.decode() for t in texts], pa.string())
             out.append(pa.table(columns))
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(out) if out else pa.table(
             {"row": rows["row"].slice(0, 0)}
             | {n: pa.array([], pa.int64()) for n in DIGITS}
