@@ -118,14 +118,25 @@ def _same(data, offsets, vocabulary, ids, where) -> np.ndarray:
     return same
 
 
-def _lists(ids: np.ndarray, where: np.ndarray, kept: np.ndarray) -> pa.Array:
+def _packed(ids: np.ndarray, where: np.ndarray, kept: np.ndarray) -> pa.Array:
+    """The ids of each text as little-endian unsigned 16-bit integers; none where it is not kept."""
     lengths = np.where(kept, np.diff(where), 0)
-    ids = ids[ranges(where[:-1], lengths)]
-    return pa.ListArray.from_arrays(pa.array(offsets_of(lengths).astype(np.int32)), pa.array(ids, pa.int32()))
+    ids = ids[ranges(where[:-1], lengths)].astype("<u2")
+    offsets = offsets_of(2 * lengths).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
+
+def _unpacked(packed: pa.Array | pa.ChunkedArray) -> pa.ListArray:
+    if isinstance(packed, pa.ChunkedArray):
+        packed = packed.combine_chunks()
+    _, offsets, body = packed.cast(pa.binary()).buffers()
+    where = np.frombuffer(offsets, np.int32)[packed.offset : packed.offset + len(packed) + 1] if len(packed) else np.zeros(1, np.int32)
+    ids = np.frombuffer(body, np.uint8)[where[0] : where[-1]].view("<u2") if body else np.zeros(0, "<u2")
+    return pa.ListArray.from_arrays(pa.array((where - where[0]) // 2), pa.array(ids.astype(np.int32)))
 
 
 def encode_both(docs: DataFrame, a: str, b: str, text: str = "text") -> DataFrame:
-    """(row, block, a, b): the ids of each text in both vocabularies; ``row`` holds the other columns."""
+    """(row, block, a, b): the ids of each text in both vocabularies, 16 bits each; ``row`` holds the other columns."""
     carried = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,13 +151,13 @@ def encode_both(docs: DataFrame, a: str, b: str, text: str = "text") -> DataFram
                 ids_b, where_b = of_b.encode(data, offsets)
                 kept = _same(data, offsets, of_a, ids_a, where_a) & _same(data, offsets, of_b, ids_b, where_b)
                 blocks = pa.array(np.full(end - first, task | chunk // CHUNKS_PER_BLOCK, np.int64))
-                columns = [batch.column(0).slice(first, end - first), blocks, _lists(ids_a, where_a, kept), _lists(ids_b, where_b, kept)]
+                columns = [batch.column(0).slice(first, end - first), blocks, _packed(ids_a, where_a, kept), _packed(ids_b, where_b, kept)]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "block", "a", "b"])
                 chunk += 1
 
     rows = docs.select(carried, F.col(f"`{text}`").cast("string").alias("text"))
-    ids = T.ArrayType(T.IntegerType())
-    schema = T.StructType([rows.schema["row"], T.StructField("block", T.LongType()), T.StructField("a", ids), T.StructField("b", ids)])
+    ids = [T.StructField(side, T.BinaryType()) for side in "ab"]
+    schema = T.StructType([rows.schema["row"], T.StructField("block", T.LongType()), *ids])
     return rows.mapInArrow(run, schema)
 
 
@@ -200,36 +211,42 @@ def _linked(left: pa.Table, right: pa.Table) -> Iterator[pa.Table]:
         yield pa.table({"doc": pairs["doc"], "a": pairs["a"], "b": pairs["b"], "links": pc.multiply(pairs["n_a"], pairs["n_b"])})
 
 
-def _slices(a: pa.Array, cuts: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with bounded numbers of tokens that lie in one of the runs that ``cuts`` start."""
-    tokens = offsets_of(pc.fill_null(pc.list_value_length(a), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    starts = [0] if cuts is None else cuts.tolist()
-    for first, stop in zip(starts, [*starts[1:], len(a)]):
-        while first < stop:
-            end = int(np.searchsorted(tokens, tokens[first] + SLICE_TOKENS, side="right")) - 1
-            end = min(max(end, first + 1), stop)
-            yield first, end
-            first = end
+def _slices(lists: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with bounded numbers of tokens."""
+    tokens = lists.offsets.to_numpy().astype(np.int64)
+    first = 0
+    while first < len(lists):
+        end = int(np.searchsorted(tokens, tokens[first] + SLICE_TOKENS, side="right")) - 1
+        end = min(max(end, first + 1), len(lists))
+        yield first, end
+        first = end
 
 
 def pair_counts(coded: DataFrame, a: str, b: str) -> DataFrame:
     """(block, a, b, documents): partial counts of documents that hold a pair linked."""
     widths = _widths(a, b)
 
+    def counted(lists: list[pa.Array]) -> pa.Table:
+        left, right, _ = _grouped(*lists, widths)
+        held = [p.group_by(["doc", "a", "b"], use_threads=False).aggregate([]) for p in _linked(left, right)]
+        once = pa.concat_tables(held or [pa.table({n: pa.array([], k) for n, k in (("doc", pa.int64()), ("a", pa.int32()), ("b", pa.int32()))})])
+        if len(held) > 1:
+            once = once.group_by(["doc", "a", "b"], use_threads=False).aggregate([])
+        return once.group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["a", "b", "documents"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             blocks = batch.column("block").to_numpy()
-            cuts = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1]])) if len(blocks) else np.zeros(0, np.int64)
-            for first, end in _slices(batch.column("a"), cuts) if len(blocks) else ():
-                ids = [batch.column(side).slice(first, end - first) for side in "ab"]
-                left, right, _ = _grouped(*ids, widths)
-                held = [p.group_by(["doc", "a", "b"], use_threads=False).aggregate([]) for p in _linked(left, right)]
-                if not held:
-                    continue
-                once = held[0] if len(held) == 1 else pa.concat_tables(held).group_by(["doc", "a", "b"], use_threads=False).aggregate([])
-                counts = once.group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")]).combine_chunks()
-                block = pa.array(np.full(counts.num_rows, blocks[first], np.int64))
-                arrays = [block, *(counts[c].combine_chunks() for c in ("a", "b", "count_all"))]
+            cuts = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1]]))
+            lists = [_unpacked(batch.column(side)) for side in "ab"]
+            for first, stop in zip(cuts, [*cuts[1:], len(blocks)]):
+                own = [side.slice(first, stop - first) for side in lists]
+                parts = [counted([side.slice(x, y - x) for side in own]) for x, y in _slices(own[0])]
+                whole = pa.concat_tables(parts).group_by(["a", "b"], use_threads=False).aggregate([("documents", "sum")])
+                block = pa.array(np.full(whole.num_rows, blocks[first], np.int64))
+                arrays = [block, *(whole[c].combine_chunks() for c in ("a", "b", "documents_sum"))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["block", "a", "b", "documents"])
 
     return coded.select("block", "a", "b").mapInArrow(run, PAIRS)
@@ -288,10 +305,9 @@ def alignments(docs: DataFrame, a: str, b: str, text: str = "text", spelled: boo
     def tell(rows: pa.Table, told: pa.Table) -> pa.Table:
         out = []
         known = told.select(["pa", "pb", "documents", "best"])
-        lists = {side: rows[side].combine_chunks() for side in "ab"}
-        for first, end in _slices(lists["a"]):
-            ids = [lists[side].slice(first, end - first) for side in "ab"]
-            left, right, groups = _grouped(*ids, widths)
+        lists = [_unpacked(rows[side]) for side in "ab"]
+        for first, end in _slices(lists[0]):
+            left, right, groups = _grouped(*[side.slice(first, end - first) for side in lists], widths)
             count = end - first
             sums = {name: np.zeros(count, np.int64) for name in ("n_links", "n_best", "count_sum")}
             for pairs in _linked(left, right):
