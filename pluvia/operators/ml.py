@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -88,6 +90,34 @@ def time_series_folds(
     return each.withColumn("role", role).filter(F.col("role").isNotNull()).drop("_pos", "_n")
 
 
+def fold_errors(folded: DataFrame, booster, features: Sequence[str], key: str, label: str = "y") -> DataFrame:
+    """(fold, key, train_rows, test_rows, rmse) of rows dealt into folds.
+
+    The models of all folds are fit side by side over one cached frame, each by a thread of the driver that
+    only starts jobs; scoring is one plan over all folds.
+    """
+    from pluvia.operators import boosting
+
+    held = folded.persist()
+    try:
+        numbers = sorted(r["fold"] for r in held.select("fold").distinct().collect())
+        with ThreadPoolExecutor(max(len(numbers), 1)) as pool:
+            models = list(pool.map(lambda n: booster.fit(held.where((F.col("fold") == n) & (F.col("role") == "train")), features, label), numbers))
+        scored = [boosting.score(m, held.where(F.col("fold") == n)) for n, m in zip(numbers, models)]
+        test = F.col("role") == "test"
+        out = [
+            s.groupBy("fold", key).agg(
+                F.count_if(~test).alias("train_rows"),
+                F.count_if(test).alias("test_rows"),
+                F.sqrt(F.avg(F.when(test, (F.col(label) - F.col("yhat")) ** 2))).alias("rmse"),
+            )
+            for s in scored
+        ]
+        return reduce(DataFrame.unionByName, out)
+    finally:
+        held.unpersist()
+
+
 YEAR_SECONDS = 31_557_600
 DAY_SECONDS = 86_400
 ORIGIN = 946_684_800  # 2000-01-01 UTC; keeps the trend term small

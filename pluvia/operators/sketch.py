@@ -10,8 +10,11 @@ from __future__ import annotations
 
 import math
 import random
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,6 +118,65 @@ class Sketch:
         )
 
 
+HEAVY = "key string, cnt bigint, lost bigint"
+
+
+def heavy_hitters(updates: DataFrame, key: str, k: int, count: str | None = None) -> DataFrame:
+    """(key, cnt, lost): a mergeable summary of at most ``k`` keys (Misra and Gries, 1982).
+
+    Every partition counts its own keys, pruned to ``k`` whenever there are more than four times as many, so no
+    shuffle of all keys is needed. Of N updates a key's true count lies between cnt and cnt + lost, and lost is at most
+    N / (k + 1); each key of more than N / (k + 1) updates is held. Null keys and counts below one are left out.
+    """
+    amount = F.col(count) if count else F.lit(1)
+    rows = updates.select(F.col(key).cast("string").alias("key"), amount.cast("bigint").alias("cnt"))
+    rows = rows.where(F.col("key").isNotNull() & (F.col("cnt") >= 1))
+
+    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, lost = pd.Series(dtype="int64"), 0
+
+        def prune(counts: pd.Series) -> tuple[pd.Series, int]:
+            if len(counts) <= k:
+                return counts, 0
+            least = int(np.partition(counts.to_numpy(), len(counts) - k - 1)[len(counts) - k - 1])
+            return (counts - least)[counts > least], least
+
+        for batch in batches:
+            held = held.add(batch.groupby("key")["cnt"].sum(), fill_value=0).astype("int64")
+            if len(held) > 4 * k:
+                held, least = prune(held)
+                lost += least
+        held, least = prune(held)
+        lost += least
+        if len(held) or lost:
+            # what a partition has lost counts against every key, those it does not hold too
+            yield pd.DataFrame({"key": [*held.index, None], "cnt": [*held, 0], "lost": [0] * len(held) + [lost]})
+
+    return merge_heavy(rows.mapInPandas(summarise, HEAVY), k=k)
+
+
+def merge_heavy(*summaries: DataFrame, k: int) -> DataFrame:
+    """One summary of at most ``k`` keys from several; the bounds stay those of all updates together."""
+    parts = summaries[0]
+    for other in summaries[1:]:
+        parts = parts.unionByName(other)
+    counts = parts.groupBy("key").agg(F.sum("cnt").alias("cnt"), F.sum("lost").alias("lost"))
+    top = counts.where(F.col("key").isNotNull()).orderBy(F.desc("cnt"), "key").limit(k + 1)
+    # k + 1 rows at most, so one window is enough; the last of k + 1 is what all of them lose
+    ranked = top.withColumn("_place", F.row_number().over(Window.orderBy(F.desc("cnt"), "key")))
+    less = ranked.where(F.col("_place") == k + 1).agg(F.coalesce(F.max("cnt"), F.lit(0).cast("bigint"))).scalar()
+    before = counts.where(F.col("key").isNull()).agg(F.coalesce(F.max("lost"), F.lit(0).cast("bigint"))).scalar()
+    kept = ranked.where(F.col("_place") <= k).select("key", (F.col("cnt") - less).alias("cnt"), F.lit(0).cast("bigint").alias("lost"))
+    mark = parts.sparkSession.createDataFrame([(None, 0)], "key string, cnt bigint").withColumn("lost", less + before)
+    return kept.where(F.col("cnt") > 0).unionByName(mark)
+
+
+def heavy_keys(summary: DataFrame) -> DataFrame:
+    """(key, low, high): the bounds of the true count of each key held."""
+    lost = summary.where(F.col("key").isNull()).agg(F.coalesce(F.max("lost"), F.lit(0).cast("bigint"))).scalar()
+    return summary.where(F.col("key").isNotNull()).select("key", F.col("cnt").alias("low"), (F.col("cnt") + lost).alias("high"))
+
+
 def builtin_sketch(df: DataFrame, key: str, eps: float, confidence: float, seed: int) -> DataFrame:
     """Spark's own sketch of the same purpose (another hash, a binary state)."""
     state = F.count_min_sketch(key, F.lit(eps), F.lit(confidence), F.lit(seed))

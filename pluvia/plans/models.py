@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pluvia.operators import ml
+from pluvia.operators import boosting, ml
+from pluvia.operators.boosting import Booster
 from pluvia.operators.filters import trailing_from_latest
+from pluvia.operators.trend import TrendModel
 from pluvia.operators.windows import category_codes, row_lags, with_category_code
+from pluvia.plans import common
+from pluvia.plans.boosted_sql import boosted_ctes
 from pluvia.plans.projections import SERIES
 from pluvia.plans.registry import d, i, query, ts
 from pluvia.plans.tables import sql
@@ -57,50 +62,74 @@ def folds(t):
     return ml.time_series_folds(t.enriched(), *SERIES).select("reading_id", "fold", "role")
 
 
-def _seasonal_check(t, model: ml.SeasonalModel, periods: int, step: str = "1 month"):
-    """Per county: forecasts made, whether the penalised normal equations hold, and whether every
-    forecast lies within the range of the series, give or take its interval."""
-    rows = t.enriched()
-    fitted = model.fit(rows, "county", "ds", "y")
-    terms = [f"x{i}" for i in range(model.size)]
-    past = model.predict(rows, fitted, "county", "ds").withColumns(dict(zip(terms, model.terms(F.col("ds")))))
-    error = F.col("y") - F.col("yhat")
-    sums = past.groupBy("county").agg(
-        F.array(*[F.sum(error * F.col(x)) for x in terms]).alias("left"),
-        F.array(*[F.sum(F.abs(F.col("y") * F.col(x))) for x in terms]).alias("scale"),
-        F.min("y").alias("low"),
-        F.max("y").alias("high"),
-    )
-    holds = F.lit(True)
-    for k in range(model.size):
-        pull = F.col("coef")[k] * (model.penalty if k > 1 else 0.0)
-        solved = F.abs(F.col("left")[k] - pull) <= 1e-6 * F.col("scale")[k] + 1e-9
-        holds = holds & F.when(F.col("used")[k], solved).otherwise(F.col("coef")[k] == 0)
-    known = fitted.join(sums, "county")
-    ahead = model.forecast(fitted, "county", periods, step).join(sums, "county")
-    inside = (F.col("yhat_upper") >= F.col("low")) & (F.col("yhat_lower") <= F.col("high"))
-    seen = ahead.groupBy("county").agg(F.count(F.lit(1)).alias("periods"), F.bool_and(inside).alias("in_range"))
-    return known.select("county", holds.alias("equations_hold")).join(seen, "county")
-
-
-def _seasonal_sql(periods: int) -> str:
-    return sql(
-        f"""SELECT county, {i(str(periods), "periods")}, bool_and(isfinite(y)) AS equations_hold,
-        max(y) >= min(y) AS in_range FROM enriched GROUP BY county""",
-        "enriched",
-    )
+# A series shorter than two years supports the trend alone: the regression line and its prediction interval.
+LINE = f"""SELECT county, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, avg(x) AS mx, regr_sxx(y, x) AS sxx, CAST(count(*) AS DOUBLE) AS n,
+  sqrt((regr_syy(y, x) - regr_sxy(y, x) * regr_sxy(y, x) / regr_sxx(y, x)) / (count(*) - 2)) AS sigma, max(ds) AS last_ds
+FROM timed GROUP BY county"""
+YEARS = f"(floor(epoch(ds)) - {ml.ORIGIN}) / CAST({ml.YEAR_SECONDS} AS DOUBLE)"  # whole seconds, as the model counts
+TIMED = f"SELECT *, {YEARS} AS x FROM enriched"
+FUTURE = """SELECT line.*, date_trunc('month', last_ds) + to_months(CAST(k AS INTEGER)) AS ds FROM line, range(1, 13) r(k)"""
 
 
-@query("ml_seasonal_forecast", _seasonal_sql(12))
+@query(
+    "ml_seasonal_forecast",
+    sql(
+        f"""SELECT county, {ts("ds", "ds")}, {d("a + b * x", "yhat")}, {d("a + b * x - half", "yhat_lower")}, {d("a + b * x + half", "yhat_upper")}
+        FROM (SELECT *, 1.96 * sigma * sqrt(1 + 1 / n + (x - mx) * (x - mx) / sxx) AS half FROM (SELECT *, {YEARS} AS x FROM future))""",
+        "enriched",
+        timed=TIMED,
+        line=LINE,
+        future=FUTURE,
+    ),
+)
 def seasonal_forecast(t):
-    """Twelve month starts ahead per county; a short series supports the trend alone."""
-    return _seasonal_check(t, ml.SeasonalModel(yearly=3), 12)
+    """Twelve month starts ahead per county, with the interval; a short series supports the trend alone."""
+    model = ml.SeasonalModel(yearly=3)
+    fitted = model.fit(t.enriched(), "county", "ds", "y")
+    return model.forecast(fitted, "county", 12).select("county", "ds", "yhat", "yhat_lower", "yhat_upper")
 
 
-@query("ml_seasonal_forecast_daily", _seasonal_sql(56))
+@query("ml_seasonal_forecast_daily")
 def seasonal_forecast_daily(t):
-    """The single-site form: yearly and daily terms, 56 six-hour steps."""
-    return _seasonal_check(t, ml.SeasonalModel(yearly=1, daily=3), 56, "6 hours")
+    """The single-site form: daily terms, 56 six-hour steps. Tested against least squares."""
+    model = ml.SeasonalModel(yearly=1, daily=3)
+    fitted = model.fit(t.enriched(), "county", "ds", "y")
+    return model.forecast(fitted, "county", 56, "6 hours").select("county", "ds", "yhat", "yhat_lower", "yhat_upper")
+
+
+@query("ml_trend_forecast")
+def trend_forecast(t):
+    """The onset series of each county by a trend with changepoints and a yearly season: twelve months ahead."""
+    model = TrendModel(yearly=3)
+    fitted = model.fit(t.history(), "county", "observation_date", "cum_72hr_mm")
+    return model.forecast(fitted, "county", 12).select("county", "ds", "trend", "yhat", "yhat_lower", "yhat_upper")
+
+
+@query("ml_trend_changepoints")
+def trend_changepoints(t):
+    """When the rain of a county sets in or ends: changes of slope of its running total, hour by hour."""
+    total = F.sum("precipitation").over(Window.partitionBy("county").orderBy("hour"))
+    rows = common.hourly(t).select("county", "hour", total.alias("total"))
+    model = TrendModel(share=0.95, flexibility=0.5)
+    return model.changes(model.fit(rows, "county", "hour", "total"), "county", least=1.0)
+
+
+@query(
+    "ml_trend_history",
+    sql(
+        f"""SELECT e.county, {i("count(*)", "rows")}, {d("avg(abs(y - (a + b * x)))", "mae")}, {d("sqrt(avg((y - (a + b * x)) * (y - (a + b * x))))", "rmse")}
+        FROM exact e JOIN line USING (county) GROUP BY e.county""",
+        "enriched",
+        exact="SELECT *, epoch(ds) AS x FROM enriched",
+        line="SELECT county, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM exact GROUP BY county",
+    ),
+)
+def trend_history(t):
+    """Errors over the history of a trend that is too stiff to bend, which is the regression line."""
+    stiff = TrendModel(flexibility=1e-9)
+    rows = stiff.predict(t.enriched(), stiff.fit(t.enriched(), "county", "ds", "y"), "county", "ds")
+    error = F.col("y") - F.col("yhat")
+    return rows.groupBy("county").agg(F.count(F.lit(1)).alias("rows"), F.avg(F.abs(error)).alias("mae"), F.sqrt(F.avg(error**2)).alias("rmse"))
 
 
 @query(
@@ -109,8 +138,8 @@ def seasonal_forecast_daily(t):
         f"""SELECT e.county, {i("count(*)", "rows")}, {i("12", "ahead")}, {d("avg(abs(y - (a + b * x)))", "mae")}, {d("round(max(b), 2)", "slope")}
         FROM timed e JOIN line USING (county) GROUP BY e.county""",
         "enriched",
-        timed=f"SELECT *, (epoch(ds) - {ml.ORIGIN}) / CAST({ml.YEAR_SECONDS} AS DOUBLE) AS x FROM enriched",
-        line="SELECT county, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM timed GROUP BY county",
+        timed=TIMED,
+        line=LINE,
     ),
 )
 def seasonal_history(t):
@@ -125,118 +154,225 @@ def seasonal_history(t):
     ).join(slope, "county")
 
 
+FEATURES = list(ml.LAG_FEATURES)
+BOOSTER = Booster(trees=10, depth=3, step=0.3)
+FOLD_BOOSTER = Booster(trees=4, depth=2, step=0.3)
+FOLDS = 5
+
+
 def training_rows(t):
     codes = category_codes(t.enriched(), "county")
     lagged = row_lags(t.enriched(), *SERIES, "y").dropna()
     return with_category_code(lagged, codes, "county", "county_cat")
 
 
-_fitted: dict[tuple[str, str, str], object] = {}
+TRAINING = """SELECT * FROM (SELECT reading_id AS id, county, ds, y, surface_pressure AS x0, lag(y, 1) OVER o AS x1, lag(y, 4) OVER o AS x2,
+  code AS x3 FROM enriched JOIN (SELECT county, row_number() OVER (ORDER BY county) - 1 AS code FROM (SELECT DISTINCT county FROM enriched)) USING (county)
+  WINDOW o AS (PARTITION BY county ORDER BY ds, reading_id)) WHERE x2 IS NOT NULL"""
+TRAINING_PLACED = """SELECT *, row_number() OVER (PARTITION BY county ORDER BY ds, id) - 1 AS pos, count(*) OVER (PARTITION BY county) AS n FROM training"""
+CHRONO = "SELECT *, CASE WHEN pos < floor(CAST(0.8 AS DOUBLE) * n) THEN 'train' ELSE 'test' END AS role FROM placed"
+WHOLE = "SELECT *, 'train' AS role FROM training"
+RECENT = """SELECT *, CASE WHEN ds < (SELECT max(ds) FROM training) - INTERVAL 14 DAY THEN 'train' ELSE 'test' END AS role FROM training"""
 
 
-def fitted_once(t, name: str, rows):
-    """A model of 100 trees on a folder's rows, fit once for all queries of a session."""
-    key = (t.spark.sparkContext.applicationId, t.folder, name)
-    if key not in _fitted:
-        held = rows.persist()
-        _fitted[key] = ml.fit_boosted(held)
-        held.unpersist()
-    return _fitted[key]
+def _boosted(base: str, booster: Booster = BOOSTER) -> dict[str, str]:
+    return boosted_ctes("model", base, booster, len(FEATURES))
 
 
-LAGGED = "SELECT *, lag(y, 4) OVER (PARTITION BY county ORDER BY ds, reading_id) AS lag4 FROM enriched"
-SERIES_SPREAD = "SELECT min(y) AS low, max(y) AS high FROM enriched"
+def _chrono(t):
+    """Rows with their role, and the model of the earlier ones."""
+    parts = ml.chrono_split(training_rows(t), *SERIES)
+    return parts, BOOSTER.fit(parts.filter("role = 'train'"), FEATURES)
+
+
+def _squared(prediction: str):
+    return (F.col("y") - F.col(prediction)) ** 2
+
+
+@query(
+    "ml_gbt_root",
+    sql(
+        f"""SELECT list_extract({FEATURES}, CAST(feature + 1 AS INTEGER)) AS feature, {d("cut", "cut")}, {d("gain", "gain")}
+        FROM model_cuts WHERE tree = 0 AND node = 0""",
+        "enriched",
+        training=TRAINING,
+        placed=TRAINING_PLACED,
+        parts=CHRONO,
+        **_boosted("parts", Booster(trees=1, depth=1, step=0.3)),
+    ),
+)
+def gbt_root(t):
+    """The first cut of the first tree: the feature, where it is cut, and what that gains."""
+    _, model = _chrono(t)
+    tree = model.trees[0]
+    row = (model.features[tree.feature[0]], tree.cut[0], tree.gain[0])
+    return t.spark.createDataFrame([row], "feature string, cut double, gain double")
 
 
 @query(
     "ml_gbt_regression",
     sql(
-        f"""SELECT county, {i("count(*) FILTER (pos < floor(CAST(0.8 AS DOUBLE) * n))", "train_rows")},
-        {i("count(*) FILTER (pos >= floor(CAST(0.8 AS DOUBLE) * n))", "test_rows")}, stddev_pop(y) > 0 AS near_the_mean
-        FROM (SELECT *, row_number() OVER (PARTITION BY county ORDER BY ds, reading_id) - 1 AS pos, count(*) OVER (PARTITION BY county) AS n
-          FROM lagged WHERE lag4 IS NOT NULL) GROUP BY county""",
+        f"""SELECT county, {i("count(*) FILTER (role = 'train')", "train_rows")}, {i("count(*) FILTER (role = 'test')", "test_rows")},
+        {d("sqrt(avg((y - p) * (y - p)) FILTER (role = 'test'))", "rmse")}, {d("sqrt(avg((y - m) * (y - m)) FILTER (role = 'test'))", "mean_rmse")}
+        FROM model JOIN means USING (county) GROUP BY county""",
         "enriched",
-        lagged=LAGGED,
+        training=TRAINING,
+        placed=TRAINING_PLACED,
+        parts=CHRONO,
+        means="SELECT county, avg(y) AS m FROM parts WHERE role = 'train' GROUP BY county",
+        **_boosted("parts"),
     ),
 )
 def gbt_regression(t):
-    """Per county: the split, and whether the error on all later rows is at most 30 % above their spread."""
-    parts = ml.chrono_split(training_rows(t), *SERIES)
-    model = fitted_once(t, "first", parts.filter("role = 'train'"))
-    counts = parts.groupBy("county").agg(
-        F.count_if(F.col("role") == "train").alias("train_rows"), F.count_if(F.col("role") == "test").alias("test_rows")
+    """Per county: the split, the error on all later rows, and that of the mean of the earlier ones."""
+    parts, model = _chrono(t)
+    means = parts.filter("role = 'train'").groupBy("county").agg(F.avg("y").alias("mean"))
+    scored = boosting.score(model, parts).join(means, "county")
+    test = F.col("role") == "test"
+    return scored.groupBy("county").agg(
+        F.count_if(~test).alias("train_rows"),
+        F.count_if(test).alias("test_rows"),
+        F.sqrt(F.avg(F.when(test, _squared("yhat")))).alias("rmse"),
+        F.sqrt(F.avg(F.when(test, _squared("mean")))).alias("mean_rmse"),
     )
-    scored = ml.score(model, parts.filter("role = 'test'"))
-    error = F.sqrt(F.avg((F.col("y") - F.col("yhat")) ** 2))
-    near = scored.agg((error <= 1.3 * F.stddev_pop("y")).alias("near")).scalar()
-    return counts.withColumn("near_the_mean", near)
+
+
+@query(
+    "ml_fold_errors",
+    sql(
+        " UNION ALL ".join(
+            f"""SELECT {i(str(fold), "fold")}, county, {i("count(*) FILTER (role = 'train')", "train_rows")}, {i("count(*) FILTER (role = 'test')", "test_rows")},
+            {d("sqrt(avg((y - p) * (y - p)) FILTER (role = 'test'))", "rmse")} FROM fold{fold} GROUP BY county"""
+            for fold in range(FOLDS)
+        ),
+        "enriched",
+        training=TRAINING,
+        placed=TRAINING_PLACED,
+        **{
+            name: body
+            for fold in range(FOLDS)
+            for name, body in (
+                {
+                    f"parts{fold}": f"""SELECT *, CASE WHEN pos < n - ({FOLDS} - {fold}) * (n // 6) THEN 'train' ELSE 'test' END AS role FROM placed
+                    WHERE pos < n - ({FOLDS} - {fold}) * (n // 6) + n // 6"""
+                }
+                | boosted_ctes(f"fold{fold}", f"parts{fold}", FOLD_BOOSTER, len(FEATURES))
+            ).items()
+        },
+    ),
+)
+def fold_errors(t):
+    """Per fold and county: rows to learn from, rows to test on, and the error; folds are fit side by side."""
+    return ml.fold_errors(ml.time_series_folds(training_rows(t), *SERIES), FOLD_BOOSTER, FEATURES, "county")
 
 
 @query(
     "ml_feature_importance",
     sql(
-        f"""SELECT unnest([{", ".join(f"'{n}'" for n in ml.LAG_FEATURES)}]) AS feature, high > low AS is_share, high > low AS sum_is_one
-        FROM spread""",
+        f"""SELECT f.feature, {i("count(gain)", "splits")}, {d("coalesce(sum(gain), 0)", "gain")},
+        {d("coalesce(sum(gain), 0) / (SELECT sum(gain) FROM model_cuts)", "share")}
+        FROM (SELECT unnest({FEATURES}) AS feature, unnest(range({len(FEATURES)})) AS k) f LEFT JOIN model_cuts c ON c.feature = f.k GROUP BY f.feature""",
         "enriched",
-        spread=SERIES_SPREAD,
+        training=TRAINING,
+        whole=WHOLE,
+        **_boosted("whole"),
     ),
 )
 def importance(t):
-    """Every input of the model; shares are at least 0 and add up to 1."""
+    """Every input of the model: how often it is cut, and what its cuts gain."""
+    return boosting.gain_importance(t.spark, BOOSTER.fit(training_rows(t), FEATURES))
+
+
+@query("ml_shapley_values")
+def shapley_values(t):
+    """Shapley values of every row and feature. Tested against all subsets of features."""
     rows = training_rows(t)
-    shares = ml.feature_importance(rows, fitted_once(t, "all", rows))
-    whole = shares.agg(F.sum("importance")).scalar()
-    return shares.select(
-        "feature", F.col("importance").between(0, 1).alias("is_share"), (F.abs(whole - 1) < 1e-9).alias("sum_is_one")
-    )
+    values = boosting.shapley_values(BOOSTER.fit(rows, FEATURES), rows)
+    return values.select("reading_id", "county", "yhat", "expected", *[f"phi_{f}" for f in FEATURES])
+
+
+@query(
+    "ml_shapley_sums",
+    sql(
+        f"""SELECT id AS reading_id, {d("(SELECT avg(p) FROM model)", "expected")}, {d("p - (SELECT avg(p) FROM model)", "explained")} FROM model""",
+        "enriched",
+        training=TRAINING,
+        whole=WHOLE,
+        **_boosted("whole"),
+    ),
+)
+def shapley_sums(t):
+    """The expected prediction, and the sum of a row's Shapley values, which is what its prediction differs by."""
+    rows = training_rows(t)
+    values = boosting.shapley_values(BOOSTER.fit(rows, FEATURES), rows)
+    total = sum((F.col(f"phi_{f}") for f in FEATURES), F.lit(0.0))
+    return values.select("reading_id", "expected", total.alias("explained"))
+
+
+@query("ml_shapley_summary")
+def shapley_summary(t):
+    """Mean size of the Shapley values of each feature."""
+    rows = training_rows(t)
+    return boosting.shapley_summary(boosting.shapley_values(BOOSTER.fit(rows, FEATURES), rows), FEATURES)
+
+
+@query("ml_permutation_importance")
+def permutation_importance(t):
+    """Rise of the error when a feature's values are dealt to other rows. Tested against a slow version."""
+    rows = training_rows(t)
+    return boosting.permutation_importance(BOOSTER.fit(rows, FEATURES), rows, "reading_id")
 
 
 @query(
     "ml_batch_score",
     sql(
-        f"""SELECT reading_id, county, {d("y", "y")}, y BETWEEN low AND high AS in_range FROM lagged, spread WHERE lag4 IS NOT NULL""",
+        f"""SELECT id AS reading_id, county, {d("y", "y")}, {d("p", "yhat")} FROM model""",
         "enriched",
-        lagged=LAGGED,
-        spread=SERIES_SPREAD,
+        training=TRAINING,
+        whole=WHOLE,
+        **_boosted("whole"),
     ),
 )
 def batch_score(t):
-    """Fit, store, load and score the whole table; predictions stay within a fifth of the range around what was seen."""
-    rows = training_rows(t)
-    path = new_folder(t.spark, "model")
-    ml.save_model(fitted_once(t, "all", rows), path)
-    scored = ml.score(ml.load_model(path), rows)
-    seen = t.enriched().agg(F.struct(F.min("y").alias("low"), F.max("y").alias("high"))).scalar()
-    margin = 0.2 * (F.col("s.high") - F.col("s.low"))
-    inside = F.col("yhat").between(F.col("s.low") - margin, F.col("s.high") + margin)
-    return scored.withColumn("s", seen).select("reading_id", "county", "y", inside.alias("in_range"))
+    """Fit, store, load and score the whole table."""
+    rows, path = training_rows(t), new_folder(t.spark, "model")
+    boosting.save(BOOSTER.fit(rows, FEATURES), t.spark, path)
+    return boosting.score(boosting.load(t.spark, path), rows).select("reading_id", "county", "y", "yhat")
 
 
 @query(
     "ml_model_store",
     sql(
-        f"""SELECT {i("0", "differing")}, {i("count(*)", "rows")} FROM lagged WHERE lag4 IS NOT NULL""",
+        f"""SELECT {i("0", "differing")}, {i("count(*)", "rows")}, {d("avg(p)", "mean_yhat")} FROM model""",
         "enriched",
-        lagged=LAGGED,
+        training=TRAINING,
+        whole=WHOLE,
+        **_boosted("whole"),
     ),
 )
 def model_store(t):
     """A stored and reloaded model gives the same predictions on every row."""
     rows, path = training_rows(t), new_folder(t.spark, "model")
-    model = fitted_once(t, "all", rows)
-    ml.save_model(model, path)
-    fitted = ml.score(model, rows).withColumnRenamed("yhat", "before")
-    both = ml.load_model(path).transform(fitted)
-    return both.agg(F.count_if(F.col("before") != F.col("yhat")).alias("differing"), F.count(F.lit(1)).alias("rows"))
+    model = BOOSTER.fit(rows, FEATURES)
+    boosting.save(model, t.spark, path)
+    both = boosting.score(boosting.load(t.spark, path), boosting.score(model, rows, "before"))
+    return both.agg(
+        F.count_if(F.col("before") != F.col("yhat")).alias("differing"), F.count(F.lit(1)).alias("rows"), F.avg("yhat").alias("mean_yhat")
+    )
 
 
 @query(
     "ml_model_compare",
     sql(
-        f"""SELECT reading_id, county, {ts("ds", "ds")}, {d("y", "y")}, isfinite(y) AS both_predict FROM lagged
-        WHERE lag4 IS NOT NULL AND ds >= (SELECT max(ds) FROM lagged WHERE lag4 IS NOT NULL) - INTERVAL 14 DAY""",
+        f"""SELECT m.id AS reading_id, m.county, {ts("m.ds", "ds")}, {d("m.y", "y")}, {d("m.p", "boosted")},
+        {d("l.a + l.b * " + YEARS.replace("(ds)", "(m.ds)"), "seasonal")}
+        FROM model m JOIN line l USING (county) WHERE m.role = 'test'""",
         "enriched",
-        lagged=LAGGED,
+        training=TRAINING,
+        parts=RECENT,
+        timed=TIMED + " WHERE ds < (SELECT max(ds) FROM training) - INTERVAL 14 DAY",
+        line=LINE,
+        **_boosted("parts"),
     ),
 )
 def model_compare(t):
@@ -244,9 +380,8 @@ def model_compare(t):
     rows = training_rows(t)
     recent = trailing_from_latest(rows, "ds", 14)
     cut = rows.agg(F.max("ds")).scalar() - F.make_dt_interval(F.lit(14))
-    seasonal = ml.SeasonalModel(yearly=1, daily=3)
+    seasonal = ml.SeasonalModel(yearly=3)
     fitted = seasonal.fit(t.enriched().filter(F.col("ds") < cut), "county", "ds", "y")
-    boosted = ml.score(fitted_once(t, "before", rows.filter(F.col("ds") < cut)), recent)
-    aligned = seasonal.predict(boosted.withColumnRenamed("yhat", "boosted"), fitted, "county", "ds")
-    both = F.col("boosted").isNotNull() & F.col("yhat").isNotNull() & ~F.isnan("yhat") & ~F.isnan("boosted")
-    return aligned.select("reading_id", "county", "ds", "y", both.alias("both_predict"))
+    boosted = boosting.score(BOOSTER.fit(rows.filter(F.col("ds") < cut), FEATURES), recent, "boosted")
+    aligned = seasonal.predict(boosted, fitted, "county", "ds")
+    return aligned.select("reading_id", "county", "ds", "y", "boosted", F.col("yhat").alias("seasonal"))

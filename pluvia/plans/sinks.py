@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pluvia.functions.weather import county_from_coord
 from pluvia.operators.aggregates import latency_summary
 from pluvia.operators.joins import enrich_with_county
+from pluvia.operators.sketch import heavy_keys
 from pluvia.operators.windows import climate_features
 from pluvia.plans import common
-from pluvia.plans.aggregates import DEFAULT, LATENCY_SQL, _cells_sql
+from pluvia.plans.aggregates import DEFAULT, LATENCY_SQL, _cells_sql, _sketch_ctes
 from pluvia.plans.projections import COUNTY_SQL, FEATURES_SQL
 from pluvia.plans.registry import d, i, query, ts
 from pluvia.plans.tables import sql
@@ -19,7 +20,7 @@ from pluvia.schemas import SNAPSHOT
 from pluvia.session import new_folder
 from pluvia.sinks import writers
 from pluvia.streaming import windows
-from pluvia.streaming.jobs import OnsetSink, run_together, to_files, to_onset_sink
+from pluvia.streaming.jobs import BaselineSink, OnsetSink, run_together, to_baseline_sink, to_files, to_onset_sink
 
 NOW = "2024-02-01 00:00:00"
 
@@ -137,6 +138,58 @@ def cms_update(t):
     return drained_sink(t).sketch_cells()
 
 
+@query(
+    "stream_cms_top",
+    sql(
+        f"""SELECT key AS county, {i("estimate", "estimate")} FROM estimates ORDER BY estimate DESC, key LIMIT 5""",
+        "readings",
+        windows_72h=common.WINDOWS_72H,
+        done=CLOSED_72H,
+        **_sketch_ctes(DEFAULT, "SELECT county AS key, sum(event_count) AS n FROM done GROUP BY county"),
+    ),
+)
+def cms_top(t):
+    """The counties of most events by the sketch, of those that the summary of frequent keys holds: the
+    report of a drained stream, without given candidates."""
+    rows = t.spark.read.parquet(f"{drained_sink(t).root}/top_estimates")
+    return rows.select("county", "estimate")
+
+
+@query(
+    "stream_heavy_hitters",
+    sql(
+        f"SELECT county AS key, {i('sum(event_count)', 'low')}, {i('sum(event_count)', 'high')} FROM done GROUP BY county",
+        "readings",
+        windows_72h=common.WINDOWS_72H,
+        done=CLOSED_72H,
+    ),
+)
+def heavy_counties(t):
+    """Bounds of the events of each frequent county; with fewer counties than counters they meet."""
+    return heavy_keys(drained_sink(t).frequent.read())
+
+
+@query(
+    "join_live_vs_baseline_stream",
+    sql(
+        f"""SELECT w.county, {ts("window_start", "window_start")}, {d("w.cum_72hr_mm", "cum_72hr_mm")}, {d("expected_mm", "expected_mm")},
+        {d("w.cum_72hr_mm - expected_mm", "difference_mm")}, {d("w.cum_72hr_mm / expected_mm", "ratio")}
+        FROM done w LEFT JOIN baseline b ON w.county = b.county AND month(w.window_start) = b.month""",
+        "readings",
+        "history",
+        windows_72h=common.WINDOWS_72H,
+        done=CLOSED_72H,
+        baseline="SELECT county, month(observation_date) AS month, avg(cum_72hr_mm) AS expected_mm FROM history GROUP BY ALL",
+    ),
+)
+def live_vs_baseline_stream(t):
+    """Every closed window of a drained stream against the baseline read in its batch."""
+    sink = BaselineSink(new_folder(t.spark, "baseline"), t.history)
+    run_together([to_baseline_sink(windows.totals_72h(t.event_stream()), sink, new_folder(t.spark, "checkpoint"), trigger=None)])
+    rows = t.spark.read.parquet(sink.root)
+    return rows.select("county", "window_start", "cum_72hr_mm", "expected_mm", "difference_mm", "ratio")
+
+
 @query(
     "sink_kafka_alerts",
     sql(

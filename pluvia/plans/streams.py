@@ -12,7 +12,8 @@ from pluvia.plans.tables import sql
 from pluvia.session import new_folder, state_session
 from pluvia.sinks.writers import write_batch
 from pluvia.streaming import windows
-from pluvia.streaming.jobs import run_together, to_files
+from pluvia.streaming.breaches import breach_session, interval_p95, sustained_breaches_live
+from pluvia.streaming.jobs import OffsetLog, file_lag, run_together, to_files
 
 
 @query("stream_tumbling_3h", sql(f"SELECT {TUMBLING_COLUMNS} FROM w", "readings", w=TUMBLING_3H))
@@ -271,3 +272,55 @@ def late_data(t):
         df = windows.tumbling_3h(events)
         run_together([to_files(df, out, checkpoint, trigger=None)])
     return t.spark.read.schema(df.schema).parquet(out)
+
+
+@query(
+    "metric_sustained_breach_live",
+    sql(
+        f"""SELECT endpoint, {ts("min(bucket)", "breach_start")}, {ts("max(bucket)", "breach_end")}, {i("count(*)", "intervals")}, {d("max(p95)", "worst_p95")}
+        FROM (SELECT *, CAST(epoch(bucket) / 21600 AS BIGINT) - row_number() OVER (PARTITION BY endpoint ORDER BY bucket) AS island
+              FROM (SELECT event_type AS endpoint, time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01') AS bucket,
+                      quantile_cont(value, 0.95) AS p95 FROM events GROUP BY ALL) WHERE p95 > 120)
+        GROUP BY endpoint, island
+        HAVING count(*) >= 3 AND max(bucket) + INTERVAL '12 hours' <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'"""
+    ),
+)
+def sustained_breach_live(t):
+    """Breaches counted by a stateful stream in three runs of one checkpoint: those that have ended."""
+    feed, out, checkpoint = (new_folder(t.spark, x) for x in ("feed", "breaches", "checkpoint"))
+    samples = t.raw("events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    first, second = (F.lit(day).cast("timestamp") for day in PERIODS)
+    for part in (F.col("ts") < first, (F.col("ts") >= first) & (F.col("ts") < second), F.col("ts") >= second):
+        samples.where(part).write.mode("append").parquet(feed)
+        events = breach_session(t.spark).readStream.schema(samples.schema).parquet(feed)
+        p95 = interval_p95(events, "ts", "event_type", "value", "6 hours", "10 minutes")
+        live = sustained_breaches_live(p95, 120.0, 3, 21_600)
+        run_together([to_files(live, out, checkpoint, trigger=None)])
+    return t.spark.read.schema(live.schema).parquet(out)
+
+
+@query(
+    "stream_lag_live",
+    sql(
+        f"""SELECT {i("period", "batch")}, {i("count(*)", "rows")}, {i("period + 1", "files_read")}, {i("2 - period", "files_behind")}
+        FROM (SELECT CASE WHEN event_time < TIMESTAMP '{PERIODS[0]}' THEN 0 WHEN event_time < TIMESTAMP '{PERIODS[1]}' THEN 1 ELSE 2 END AS period FROM readings)
+        GROUP BY period""",
+        "readings",
+    ),
+)
+def lag_live(t):
+    """Three files drained one by one: what each batch read and how many files it left behind it."""
+    feed, checkpoint = new_folder(t.spark, "feed"), new_folder(t.spark, "checkpoint")
+    for part in _periods(t):
+        part.coalesce(1).write.mode("append").parquet(feed)
+    events = state_session(t.spark).readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    log = OffsetLog()
+    events.sparkSession.streams.addListener(log)
+    try:
+        drained = to_files(windows.tumbling_3h(events), new_folder(t.spark, "stream"), checkpoint, "drain", trigger=None)
+        run_together([drained])
+        log.heard_all_of(drained)
+    finally:
+        events.sparkSession.streams.removeListener(log)
+    lag = file_lag(log.table(t.spark), checkpoint, feed).where(F.col("rows") > 0)
+    return lag.select("batch", "rows", "files_read", "files_behind")

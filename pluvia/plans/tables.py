@@ -133,6 +133,6 @@ CTE = {
 
 
 def sql(body: str, *uses: str, **extra: str) -> str:
-    """An oracle query over the named table expressions (plus ``name=select`` ones)."""
-    parts = [CTE[u] for u in uses] + [f"{k} AS (\n{v})" for k, v in extra.items()]
+    """An oracle query over the named table expressions (plus ``name=select`` ones, each worked out once)."""
+    parts = [CTE[u] for u in uses] + [f"{k} AS MATERIALIZED (\n{v})" for k, v in extra.items()]
     return (f"WITH {', '.join(parts)}\n" if parts else "") + body
