@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,3 +70,18 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
 
 def sample_by_county(df: DataFrame, fractions: dict[str, float], seed: int) -> DataFrame:
     return df.sampleBy("county", fractions, seed)
+
+
+def hash_order(row_id: str, seed: int) -> Column:
+    """A text that orders rows by chance but the same way each time."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string")))
+
+
+def sample_fixed(df: DataFrame, key: str, row_id: str, n: int, seed: int) -> DataFrame:
+    """``n`` rows of each key, all of them where it has fewer: those of smallest hash of ``row_id``.
+
+    Each task keeps its own ``n`` of a key before anything is shuffled, and samples merge: the sample of the union of
+    two samples is that of all rows. A null key is a key of its own; equal ids are told apart by their order only.
+    """
+    place = F.row_number().over(Window.partitionBy(key).orderBy(hash_order(row_id, seed), row_id))
+    return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pluvia.operators import windows as w
-from pluvia.operators.filters import newest, sample_by_county, union_all
+from pluvia.operators.filters import newest, sample_by_county, sample_fixed, union_all
 from pluvia.operators.onset import onset_by_rows, onset_trailing
 from pluvia.operators.ordered import fill_next
 from pluvia.plans import common
@@ -331,3 +331,16 @@ def sample_rows(t):
     return known.groupBy("county").agg(n.alias("rows"), fits.alias("share_fits")).select(
         "county", "rows", (strange == 0).alias("is_subset"), "share_fits"
     )
+
+
+@query(
+    "sample_rows_fixed",
+    sql(
+        f"""SELECT county, reading_id, {d("precipitation", "precipitation")} FROM (SELECT *, row_number() OVER
+        (PARTITION BY county ORDER BY md5('7:' || CAST(reading_id AS VARCHAR)), reading_id) AS place FROM readings) WHERE place <= 40""",
+        "readings",
+    ),
+)
+def sample_rows_fixed(t):
+    """Forty readings of each county by hash."""
+    return sample_fixed(t.readings(), "county", "reading_id", 40, seed=7).select("county", "reading_id", "precipitation")

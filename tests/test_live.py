@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pluvia.operators import quality
+from pluvia.operators.filters import sample_fixed
 from pluvia.operators.sketch import heavy_hitters, heavy_keys, merge_heavy
 from pluvia.session import state_session
 from pluvia.streaming.breaches import breach_session, interval_p95, sustained_breaches_live
@@ -116,3 +117,34 @@ def test_a_renewed_baseline_shows_in_the_next_batch(spark, tmp_path):
     got = spark.read.parquet(sink.root).where("county = 'Meru'").orderBy("cum_72hr_mm").collect()
     assert [(r["expected_mm"], r["difference_mm"], r["ratio"]) for r in got] == [(10.0, 10.0, 2.0), (40.0, -19.0, 21 / 40)]
     assert spark.read.parquet(sink.root).where("county = 'Embu' and expected_mm is null").count() == 2
+
+
+def test_minute_sketches_merge_to_hours_within_their_bound(spark):
+    """Three thousand values an hour and endpoint: ranks within twice the stated error; small groups exactly."""
+    df = spark.range(60_000).select(
+        F.timestamp_seconds(F.col("id") % 36_000 + 1_700_000_000).alias("ts"),
+        F.concat(F.lit("e"), F.col("id") % 2).alias("endpoint"),
+        F.when(F.col("id") % 97 != 0, (F.xxhash64("id") % 100_000).cast("double")).alias("value"),
+    )
+    minutes = quality.latency_sketches(df, "ts", "endpoint", "value").cache()
+    got = {(r["start"], r["endpoint"]): r for r in quality.merged_latency(minutes).collect()}
+    held = collections.defaultdict(list)
+    for r in df.where("value is not null").select(F.date_trunc("hour", "ts").alias("hour"), "endpoint", "value").collect():
+        held[r["hour"], r["endpoint"]].append(r["value"])
+    assert set(got) == set(held)
+    for key, values in held.items():
+        values = np.sort(values)
+        assert got[key]["events"] == len(values)
+        for name, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
+            assert abs(np.searchsorted(values, got[key][name]) / len(values) - q) < 0.033
+    assert quality.merged_latency(minutes.limit(0)).count() == 0
+
+
+def test_fixed_samples_merge(spark):
+    rows = spark.range(500).select(F.col("id"), F.when(F.col("id") % 5 != 4, F.concat(F.lit("k"), F.col("id") % 3)).alias("k")).cache()
+    whole = sample_fixed(rows, "k", "id", 20, seed=3)
+    assert {r["k"]: r["count"] for r in whole.groupBy("k").count().collect()} == {"k0": 20, "k1": 20, "k2": 20, None: 20}
+    parts = [sample_fixed(rows.where(c), "k", "id", 20, seed=3) for c in ("id < 170", "id >= 170")]
+    merged = sample_fixed(parts[0].unionByName(parts[1]), "k", "id", 20, seed=3)
+    assert sorted(map(tuple, merged.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    assert sample_fixed(rows, "k", "id", 20, seed=4).exceptAll(whole).count() > 0
