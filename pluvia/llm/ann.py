@@ -105,7 +105,8 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = K, candidates: int = C
         return forest_cell(qid, q, ids, v, floor, k, candidates)
 
     same = Window.partitionBy("vector").orderBy("id")
-    indexed = rows.withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1).select("id", "vector")
+    # by ids, not rows: repeated rows of the query's own id leave room for k others
+    indexed = rows.withColumn("nth", F.dense_rank().over(same)).where(F.col("nth") <= k + 1).select("id", "vector")
     return search(queries.distinct(), indexed, "f8", "f8", k, cell)
 
 

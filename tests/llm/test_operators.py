@@ -540,3 +540,13 @@ def test_learned_in_one_task(spark):
     assert learned(rows, lambda table: (table.num_rows, sum(table.column(0).to_pylist()))) == (1000, 499_500)
     assert learned(rows.orderBy("id").limit(10), lambda table: table.num_rows) == 10
     assert learned(rows.where("id < 0"), lambda table: table.num_rows) is None
+
+
+def test_repeated_ids_lose_no_neighbour(spark):
+    """Six equal rows of the asking id, and six others with its vector: five of those are nearest."""
+    turn = np.random.default_rng(8)
+    same = turn.normal(size=8).astype(np.float32).tolist()
+    rows = [(50, same)] * 6 + [(60 + k, same) for k in range(6)]
+    rows += [(200 + k, turn.normal(size=8).astype(np.float32).tolist()) for k in range(30)]
+    got = ann.op3_ann(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).where("query_id = 50").orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [60, 61, 62, 63, 64] and all(abs(r["score"] - 1) < 1e-12 for r in got)
