@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,24 +120,22 @@ def _same(data, offsets, vocabulary, ids, where) -> np.ndarray:
 
 
 def _packed(ids: np.ndarray, where: np.ndarray, kept: np.ndarray) -> pa.Array:
-    """The ids of each text as little-endian unsigned 16-bit integers; none where it is not kept."""
-    lengths = np.where(kept, np.diff(where), 0)
-    ids = ids[ranges(where[:-1], lengths)].astype("<u2")
-    offsets = offsets_of(2 * lengths).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+    """The ids of each text as little-endian unsigned 16-bit integers, compressed; nothing where it is not kept."""
+    press, body = zstandard.ZstdCompressor(level=1), memoryview(ids.astype("<u2")).cast("B")
+    each = zip(where[:-1], where[1:], kept)
+    return pa.array([press.compress(body[2 * x : 2 * y]) if keep and y > x else b"" for x, y, keep in each], pa.binary())
 
 
 def _unpacked(packed: pa.Array | pa.ChunkedArray) -> pa.ListArray:
-    if isinstance(packed, pa.ChunkedArray):
-        packed = packed.combine_chunks()
-    _, offsets, body = packed.cast(pa.binary()).buffers()
-    where = np.frombuffer(offsets, np.int32)[packed.offset : packed.offset + len(packed) + 1] if len(packed) else np.zeros(1, np.int32)
-    ids = np.frombuffer(body, np.uint8)[where[0] : where[-1]].view("<u2") if body else np.zeros(0, "<u2")
-    return pa.ListArray.from_arrays(pa.array((where - where[0]) // 2), pa.array(ids.astype(np.int32)))
+    open_ = zstandard.ZstdDecompressor()
+    parts = [open_.decompress(body) if body else b"" for body in packed.to_pylist()]
+    ids = np.frombuffer(b"".join(parts), "<u2").astype(np.int32)
+    offsets = offsets_of(np.array([len(p) // 2 for p in parts], np.int64)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
 
 
 def encode_both(docs: DataFrame, a: str, b: str, text: str = "text") -> DataFrame:
-    """(row, block, a, b): the ids of each text in both vocabularies, 16 bits each; ``row`` holds the other columns."""
+    """(row, block, a, b): the ids of each text in both vocabularies, packed; ``row`` holds the other columns."""
     carried = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
