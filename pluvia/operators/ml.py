@@ -196,10 +196,17 @@ class SeasonalModel:
                     used = np.array(needs) <= span
                     at = np.flatnonzero(used)
                     ridge = np.diag(np.where(at < 2, 0.0, penalty))
+                    # the trend counts from its mean, far from the origin of time it is nearly constant
+                    centre = np.eye(size)
+                    centre[0, 1] = -gram[0, 1] / gram[0, 0]
+                    near = centre.T @ gram @ centre
+                    if near[1, 1] <= 1e-13 * gram[1, 1]:
+                        near[1, :] = near[:, 1] = 0.0
                     inverse = np.zeros((size, size))
                     # as many rows as terms may still leave the equations without one solution
-                    inverse[np.ix_(at, at)] = np.linalg.pinv(gram[np.ix_(at, at)] + ridge, rcond=1e-14, hermitian=True)
-                    coef = inverse @ np.asarray(xy)
+                    inverse[np.ix_(at, at)] = np.linalg.pinv(near[np.ix_(at, at)] + ridge, rcond=1e-14, hermitian=True)
+                    coef = centre @ (inverse @ (centre.T @ np.asarray(xy)))
+                    inverse = centre @ inverse @ centre.T
                     sse = yy - 2 * coef @ np.asarray(xy) + coef @ gram @ coef
                     made["coef"].append(coef.tolist())
                     made["sigma"].append(float(np.sqrt(max(sse, 0.0) / max(n - len(at), 1))))

@@ -74,7 +74,7 @@ FUTURE = """SELECT line.*, date_trunc('month', last_ds) + to_months(CAST(k AS IN
 @query(
     "ml_seasonal_forecast",
     sql(
-        f"""SELECT county, {ts("ds", "ds")}, {d("a + b * x", "yhat")}, {d("a + b * x - half", "yhat_lower")}, {d("a + b * x + half", "yhat_upper")}
+        f"""SELECT county, {ts("ds", "ds")}, {d("a + b * x", "yhat")}, {d("round(a + b * x - half, 3)", "yhat_lower")}, {d("round(a + b * x + half, 3)", "yhat_upper")}
         FROM (SELECT *, 1.96 * sigma * sqrt(1 + 1 / n + (x - mx) * (x - mx) / sxx) AS half FROM (SELECT *, {YEARS} AS x FROM future))""",
         "enriched",
         timed=TIMED,
@@ -83,10 +83,14 @@ FUTURE = """SELECT line.*, date_trunc('month', last_ds) + to_months(CAST(k AS IN
     ),
 )
 def seasonal_forecast(t):
-    """Twelve month starts ahead per county, with the interval; a short series supports the trend alone."""
+    """Twelve month starts ahead per county, with the interval; a short series supports the trend alone.
+
+    The interval is shown at three decimals: times far from the origin cost its last digits.
+    """
     model = ml.SeasonalModel(yearly=3)
     fitted = model.fit(t.enriched(), "county", "ds", "y")
-    return model.forecast(fitted, "county", 12).select("county", "ds", "yhat", "yhat_lower", "yhat_upper")
+    ends = [F.round(c, 3).alias(c) for c in ("yhat_lower", "yhat_upper")]
+    return model.forecast(fitted, "county", 12).select("county", "ds", "yhat", *ends)
 
 
 @query("ml_seasonal_forecast_daily")
