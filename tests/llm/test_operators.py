@@ -250,18 +250,60 @@ def vectors_of(frame):
     return out
 
 
-def test_forest_ranges_hold_the_longest_prefixes():
+def test_forest_ranges_hold_the_prefixes():
     turn = np.random.default_rng(6)
-    arrays = np.sort(turn.integers(0, 1 << 10, (3, 200)), axis=1)
-    asked = turn.integers(0, 1 << 10, (3, 20))
-    first, end = ann.ascend(asked, arrays, 10, 15)
-    for q in range(20):
-        for level in range(10, -1, -1):
-            same = [(arrays[t] >> (10 - level)) == (asked[t, q] >> (10 - level)) for t in range(3)]
-            if sum(s.sum() for s in same) >= 15 or level == 0:
-                break
-        for t in range(3):
-            assert np.flatnonzero(same[t]).tolist() == list(range(first[t, q], end[t, q]))
+    bits = ann.SYMBOL_BITS * ann.SYMBOLS
+    array = np.sort(turn.integers(0, 1 << bits, 300))
+    asked = np.concatenate([turn.integers(0, 1 << bits, 20), array[:5], array[-5:]])
+    for level in range(ann.SYMBOLS + 1):
+        first, end = ann.prefix_range(array, asked, level)
+        cut = bits - ann.SYMBOL_BITS * level
+        for q, a, b in zip(asked, first, end):
+            assert np.flatnonzero((array >> cut) == (q >> cut)).tolist() == list(range(a, b))
+
+
+def plain_forest(rows, k, trees, wanted):
+    """Neighbours and rows read by the rule, one query and one tree at a time, from unsorted strings."""
+    ids = np.array([i for i, _ in rows])
+    v = np.array([a for _, a in rows], np.float64)
+    unit = ann.units(v)
+    centre = np.rint(unit.astype(np.float64) * ann.FIXED).astype(np.int64).sum(axis=0) / len(v) / ann.FIXED
+    keys = np.stack([ann.strings(unit - centre.astype(np.float32), ann.planes(v.shape[1], t)) for t in range(trees)])
+    out = {}
+    for j in np.flatnonzero(ids % 50 == 0):
+        def same(t, level):
+            cut = ann.SYMBOL_BITS * (ann.SYMBOLS - level)
+            return (keys[t] >> cut) == (keys[t, j] >> cut)
+
+        level = ann.SYMBOLS
+        while level and sum(same(t, level).sum() for t in range(trees)) < wanted:
+            level -= 1
+        deeper = min(level + 1, ann.SYMBOLS)
+        entries, read = sum(same(t, deeper).sum() for t in range(trees)), np.zeros(len(v), bool)
+        for t in range(trees):
+            read |= same(t, level if entries < wanted or level == ann.SYMBOLS else deeper)
+            entries += same(t, level).sum() - same(t, deeper).sum() if entries < wanted else 0
+        read &= ids != ids[j]
+        near = sorted((-float(c), int(i)) for c, i in zip(ann.cosine(v[[j]], v[read]), ids[read]))[:k]
+        out[int(ids[j])] = (int(read.sum()), [i for _, i in near])
+    return out
+
+
+@pytest.mark.parametrize("deal, part", [(0, 1 << 20), (1, 1 << 20), (2, 40)])
+def test_forest_reads_what_the_rule_says(spark, monkeypatch, deal, part):
+    """The same rows at any dealing: whole trees, parts of one or two symbols with fallback, arrays in slices."""
+    turn = np.random.default_rng(12)
+    made = turn.standard_normal((400, 6)) + 0.7
+    rows = [(k, v.tolist()) for k, v in enumerate(made)]
+    monkeypatch.setattr(ann, "BLOCK", 90)
+    monkeypatch.setattr(ann, "SLICE", part)
+    monkeypatch.setattr(ann, "ASKED", 3)
+    table = spark.createDataFrame(rows, "id long, vector array<double>")
+    got = ann.nearest(table.where("id % 50 = 0"), table, 5, trees=6, wanted=120, deal=deal).collect()
+    found = {}
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], (r["rows_read"], []))[1].append(r["vec_id"])
+    assert found == plain_forest(rows, 5, 6, 120)
 
 
 # -- op4
