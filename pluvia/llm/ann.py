@@ -36,7 +36,7 @@ from pluvia.session import new_folder
 K, TREES, SYMBOLS, AXES, SEED = 5, 128, 12, 8, 11
 SYMBOL_BITS = (2 * AXES - 1).bit_length()
 # entries per query: WANTED * rows ** GROWTH
-WANTED, GROWTH = 8, 0.65
+WANTED, GROWTH = 5.2, 0.72
 PART, SLICE, GATHERED, ASKED = 1 << 16, 1 << 20, 1 << 22, 4096
 FIXED = 1 << 20
 QUERY, PLACE = ["query", "hash", "width"], ["width", "tree", "part"]
