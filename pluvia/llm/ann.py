@@ -177,7 +177,7 @@ def levels(asked: DataFrame, arrays: DataFrame, deal: int, at: int, wanted: int)
 
 
 def gathered(chosen: DataFrame, arrays: DataFrame, deal: int, at: int, salts: int) -> DataFrame:
-    """(query, hash, width, block, row): the entries in the ranges that were chosen."""
+    """(query, hash, width, blocks, rows): the entries of each range that was chosen, as two lists of 32-bit numbers."""
 
     def gather(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         some = right if len(left) else right[:0]
@@ -186,12 +186,28 @@ def gathered(chosen: DataFrame, arrays: DataFrame, deal: int, at: int, salts: in
         blocks = np.repeat(some["block"].to_numpy(np.int32), some["many"].to_numpy(np.int64))
         order = np.argsort(keys, kind="stable")
         first, end = prefix_range(keys[order], left["key"].to_numpy(np.int64), left["level"].to_numpy(np.int64))
-        size = end - first
-        taken = order[np.arange(size.sum()) + np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]])[: len(size)], size)]
-        out = {c: np.repeat(left[c].to_numpy(), size) for c in QUERY}
-        return pd.DataFrame({**out, "block": blocks[taken], "row": rows[taken]})
+        out = left[QUERY].copy()
+        for name, held in (("blocks", blocks[order].tobytes()), ("rows", rows[order].tobytes())):
+            out[name] = [held[4 * a : 4 * b] for a, b in zip(first, end)]
+        return out[end > first]
 
-    return dealt(chosen, arrays, deal, at, salts).applyInPandas(gather, "query long, hash long, width int, block int, row int")
+    schema = "query long, hash long, width int, blocks binary, rows binary"
+    return dealt(chosen, arrays, deal, at, salts).applyInPandas(gather, schema)
+
+
+def by_block(found: DataFrame) -> DataFrame:
+    """(query, hash, width, block, rows): the different rows that the trees found for a query, a list for each block."""
+
+    def unite(frame: pd.DataFrame) -> pd.DataFrame:
+        block, row = (np.concatenate([np.frombuffer(b, np.int32) for b in frame[c]]).astype(np.int64) for c in ("blocks", "rows"))
+        entry = np.unique(block << 32 | row)
+        block, row = entry >> 32, entry.astype(np.int32)
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), len(entry)]
+        query = tuple(frame[c].iloc[0] for c in QUERY)
+        made = [(*query, block[a], row[a:b].tobytes()) for a, b in zip(cuts, cuts[1:])]
+        return pd.DataFrame(made, columns=[*QUERY, "block", "rows"])
+
+    return found.groupBy(*QUERY).applyInPandas(unite, "query long, hash long, width int, block int, rows binary")
 
 
 def compared(found: DataFrame, queries: DataFrame, held: DataFrame, k: int) -> DataFrame:
@@ -204,7 +220,7 @@ def compared(found: DataFrame, queries: DataFrame, held: DataFrame, k: int) -> D
             ids, v = np.frombuffer(right["ids"].iloc[0], np.int64), np.frombuffer(right["body"].iloc[0]).reshape(-1, width)
             unit = units(v)
         for r in left.itertuples(index=False):
-            rows = np.sort(r.rows)
+            rows = np.frombuffer(r.rows, np.int32)
             rows = rows[ids[rows] != r.query]
             q, read = np.asarray(r.vector)[None], len(rows)
             if read > 4 * k:
@@ -218,8 +234,7 @@ def compared(found: DataFrame, queries: DataFrame, held: DataFrame, k: int) -> D
 
     parts = max(1, math.ceil(queries.count() / ASKED))
     cell = ["width", "block", "salt"]
-    lists = found.groupBy(*QUERY, "block").agg(F.collect_set("row").alias("rows"))
-    asks = lists.join(queries.select(*QUERY, "vector"), QUERY).withColumn("salt", F.pmod("hash", F.lit(parts)).cast("int"))
+    asks = by_block(found).join(queries.select(*QUERY, "vector"), QUERY).withColumn("salt", F.pmod("hash", F.lit(parts)).cast("int"))
     blocks = held.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return asks.groupBy(*cell).cogroup(blocks.groupBy(*cell)).applyInPandas(score, NEAR)
 
