@@ -6,8 +6,10 @@ linear machine, and the language with most wins (then the largest sum of margins
 is the answer. Families are a parameter; a language in none of them forms the family of its own name.
 
 Machines are fit by dual coordinate descent on a bounded sample: about ``PER_LANGUAGE`` labelled texts
-of every language, those of smallest hashed doc_id. The share of a language that is taken follows from
-its count, so no group is gathered. Texts without a letter, null texts and null languages teach nothing.
+of every language and ``SAMPLE`` in all, those of smallest hashed doc_id. The share of a language that is
+taken follows from its count, so no group is gathered. The ``LANGUAGES`` most frequent values of ``lang`` are
+learned (ties to the first name), so a column full of stray values costs no more than that many languages; texts
+of the others are predicted like any. Texts without a letter, null texts and null languages teach nothing.
 
 A text that is null or has no letter is ``und`` with score 0. Without anything learned every text is
 ``und``. With one language learned, every text with a letter has it, with score 1. The score is the
@@ -18,7 +20,6 @@ Equal texts have equal answers; an empty table gives an empty result.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 from pluvia.llm.columnar import add_columns, bucket, learned, text_chunks
 from pluvia.llm.features import DIMENSIONS, ROWS, ngrams
 
-PER_LANGUAGE = 1200
+PER_LANGUAGE, LANGUAGES, SAMPLE = 1200, 64, 19_200
 UNKNOWN = "und"
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no"),
@@ -138,22 +139,32 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
+def shares(docs: DataFrame, usable: Column, per_language: int, languages: int, sample: int) -> list[tuple[str, int]]:
+    """The languages to learn, ``languages`` at most, each with the number of the ``FOLDS`` it is taken from."""
+    found = docs.where(usable).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    each = min(per_language, sample / max(1, len(found)))
+    return [(r["lang"], max(1, int(FOLDS * min(1, each / r["count"])))) for r in found]
+
+
 def learn(
     docs: DataFrame,
     allowed: Column | None = None,
     per_language: int = PER_LANGUAGE,
     families: dict[str, tuple[str, ...]] = FAMILIES,
+    languages: int = LANGUAGES,
+    sample: int = SAMPLE,
 ) -> Hierarchy:
-    """Fit on about ``per_language`` texts of each language; ``allowed`` is a condition on doc_id."""
+    """Fit on about ``per_language`` texts of each of at most ``languages`` languages, at most ``sample`` texts in
+    all; ``allowed`` is a condition on doc_id."""
+    docs = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     usable = F.col("lang").isNotNull() if allowed is None else F.col("lang").isNotNull() & allowed
-    counts = docs.where(usable).groupBy("lang").count().collect()  # one row per language
-    if not counts:
+    share = shares(docs, usable, per_language, languages, sample)
+    if not share:
         return Hierarchy([], [], {})
+    # one row a language, ``languages`` rows at most
+    taken = F.broadcast(docs.sparkSession.createDataFrame(share, "lang string, taken int"))
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(FOLDS))
-    share = [(F.col("lang") == r["lang"]) & (place < max(1, int(FOLDS * min(1, per_language / r["count"])))) for r in counts]
-    known = docs.select("doc_id", "lang", F.col("text").cast("string").alias("text")).where(
-        usable & reduce(lambda a, b: a | b, share) & has_letter(F.col("text"))
-    )
+    known = docs.where(usable).join(taken, "lang").where((place < F.col("taken")) & has_letter(F.col("text")))
 
     def make(batch: pa.RecordBatch) -> list[pa.Array]:
         chunks = text_chunks(batch.column(batch.schema.get_field_index("text")), most=ROWS)
@@ -162,9 +173,11 @@ def learn(
         size = 2 * DIMENSIONS
         return [pa.array([blob[k : k + size] for k in range(0, len(blob), size)], pa.binary())]
 
+    known = known.select("doc_id", "lang", "text")
     rows = add_columns(known, [("x", T.BinaryType())], make, ["doc_id", "lang"])
     # repeated rows hash alike and may exceed the share; the limit holds the bound
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(per_language * len(counts)).select("lang", "x")
+    bound = min(per_language * len(share), sample)
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(bound).select("lang", "x")
 
     def taught(table: pa.Table) -> Hierarchy:
         lang = np.array(table.column(0).to_pylist(), object)
