@@ -66,6 +66,22 @@ def add_columns(
     return df.mapInArrow(run, schema)
 
 
+def nested(docs: DataFrame, *beside: str) -> DataFrame:
+    """The columns ``beside`` as they are, all others inside one struct ``held`` under names of its own, where no
+    column that an operator adds can replace them."""
+    inner = [F.col(_quoted(c)).alias(f"c{k}") for k, c in enumerate(docs.columns) if c not in beside]
+    return docs.select(*beside, F.struct(F.lit(True).alias("any"), *inner).alias("held"))
+
+
+def restored(df: DataFrame, docs: DataFrame, *beside: str) -> DataFrame:
+    """The columns of ``docs`` from rows that ``nested`` made of it."""
+    return df.select([F.col(c) if c in beside else F.col(f"held.c{k}").alias(c) for k, c in enumerate(docs.columns)])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def learned(sample: DataFrame, fit: Callable[[pa.Table], object]) -> object | None:
     """What ``fit`` makes of all rows of ``sample``; None if there are none.
 

@@ -8,9 +8,12 @@ Inside a group the real sets of all pairs that share a band are compared, unless
 link stands on an estimate. Groups above ``CELL`` nodes or ``CELL_BYTES`` of text are dealt into parts, and
 each pair of parts is a cell of bounded size. Components of the links come from ``components.connected``.
 
+Every join on nodes has one row for each node: copies are brought together in partial aggregates first. Only
+``near_duplicates``, which names the component of every row, joins the rows themselves.
+
 Words are lower-cased in A-Z and cut at ASCII white space; fewer words than a shingle are one shingle. A null text is an empty one; texts without a word are one
-node. Two sets with one 64-bit hash would be one node. Repeated rows stay rows of one node; an empty table
-gives an empty result.
+node. Two sets with one 64-bit hash would be one node. Repeated rows stay rows of one node. Columns of any name are
+carried along. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,11 +23,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pluvia.llm.columnar import add_columns, offsets_of, ranges, text_chunks
+from pluvia.llm.columnar import add_columns, nested, offsets_of, ranges, restored, text_chunks
 from pluvia.llm.components import connected
 from pluvia.session import new_folder
 
@@ -103,23 +106,24 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def numbered_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, _row): ``_row`` tells texts of one doc_id apart."""
-    return docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("_row"))
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, held, one, two): ``held`` has all other columns; the hashes ``one`` and ``two`` stand for the
+    whole row, so only rows that are equal in every column share them."""
+    whole = [F.col("doc_id"), F.col("text"), F.to_json("held")]
+    return nested(docs, "doc_id", "text").select("*", F.xxhash64(*whole).alias("one"), F.xxhash64(F.lit(2), *whole).alias("two"))
+
+
+def place() -> Column:
+    """What the rows of a group are ordered by: doc_id, null last, then the hashes of the row."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "one", "two")
 
 
 def best_of_each(docs: DataFrame, rooted: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each root of ``rooted`` (doc_id, _row, root): that of the smallest doc_id (null
-    last), then of the smallest hash of the text; of rows equal in both, any one."""
-    best = (
-        rooted.groupBy("root")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("best"))
-        .select(F.col("best.doc_id").alias("_id"), F.col("best._row").alias("_best"))
-    )
-    numbered = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    same = numbered["doc_id"].eqNullSafe(best["_id"]) & (numbered["_row"] == best["_best"])
-    kept = numbered.join(best, same, "left_semi").dropDuplicates(["doc_id", "_row"])
-    return kept.select([F.col(f"`{c}`") for c in docs.columns])
+    """One row of ``docs`` for each root of ``rooted`` (place, root), the first by ``place``. Repeated rows are brought
+    together before they are shuffled, and the texts are shuffled once."""
+    best = rooted.groupBy("root").agg(F.min("place").alias("best")).select(F.col("best.one").alias("one"), F.col("best.two").alias("two"))
+    kept = keyed_rows(docs).dropDuplicates(["one", "two"]).join(best, ["one", "two"], "left_semi")
+    return restored(kept, docs, "doc_id", "text")
 
 
 def with_node(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -140,9 +144,15 @@ def with_node(docs: DataFrame, keep: list[str]) -> DataFrame:
     return add_columns(docs, [("node", T.LongType()), ("bands", T.ArrayType(T.LongType()))], make, keep)
 
 
-def candidates(marked: DataFrame) -> DataFrame:
+def nodes_of(marked: DataFrame) -> DataFrame:
+    """(node, bands, place): one row for each node of ``marked``, with the place of its first row. Copies meet
+    in partial aggregates, so what follows has no busy node."""
+    return marked.groupBy("node").agg(F.any_value("bands").alias("bands"), F.min(place()).alias("place"))
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
     """Edges (u, v) from each node to the smallest one of each of its bands."""
-    entries = marked.select("node", "bands").dropDuplicates(["node"]).select("node", F.explode("bands").alias("key"))
+    entries = nodes.select("node", F.explode("bands").alias("key"))
     least = entries.groupBy("key").agg(F.min("node").alias("v"), F.max("node").alias("most")).where("v < most")
     return entries.join(least, "key").where("node != v").select(F.col("node").alias("u"), "v").distinct()
 
@@ -196,19 +206,13 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _cell(pa.Table.from_batches(held))
 
 
-def links(docs: DataFrame, marked: DataFrame) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges (u, v) between nodes that connect all that are linked."""
-    groups = connected(candidates(marked)).select("node", F.col("root").alias("group"))
-    # one row of each node that has a candidate, with its text
-    shown = (
-        marked.join(groups, "node")
-        .groupBy("node", "group")
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("row"))
-        .select("node", "group", F.col("row.doc_id").alias("_id"), F.col("row._row").alias("_shown"))
-    )
-    rows = numbered_rows(docs)
-    same = rows["doc_id"].eqNullSafe(shown["_id"]) & (rows["_row"] == shown["_shown"])
-    texts = written(rows.join(shown, same).select("node", "group", "text").dropDuplicates(["node"]), "candidates")
+    groups = connected(candidates(nodes)).select("node", F.col("root").alias("group"))
+    # the first row of each node that has a candidate, with its text
+    shown = nodes.join(groups, "node").select("node", "group", F.col("place.one").alias("one"), F.col("place.two").alias("two"))
+    rows = keyed_rows(docs).select("one", "two", F.col("text").cast("string").alias("text")).dropDuplicates(["one", "two"])
+    texts = written(rows.join(shown, ["one", "two"]).select("node", "group", "text"), "candidates")
     count = F.greatest(F.ceil(F.count(F.lit(1)) / CELL), F.ceil(F.sum(F.octet_length("text")) / CELL_BYTES))
     large = texts.groupBy("group").agg(count.cast("int").alias("parts")).where("parts > 1")
     parts = F.coalesce("parts", F.lit(1))
@@ -222,20 +226,26 @@ def links(docs: DataFrame, marked: DataFrame) -> DataFrame:
     return cells.mapInArrow(_cells, "u long, v long")
 
 
-def _rooted(docs: DataFrame) -> DataFrame:
-    """(doc_id, _row, root) of every row."""
-    marked = written(with_node(numbered_rows(docs), ["doc_id", "_row"]), "shingles")
-    roots = connected(links(docs, marked))
-    rooted = marked.select("doc_id", "_row", "node").join(roots, "node", "left")
-    return rooted.select("doc_id", "_row", F.coalesce("root", "node").alias("root"))
+def _marked(docs: DataFrame) -> DataFrame:
+    rows = keyed_rows(docs).withColumn("text", F.col("text").cast("string"))
+    return with_node(rows, ["doc_id", "one", "two"])
+
+
+def _roots(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, place, root) of every node."""
+    roots = connected(links(docs, nodes))
+    return nodes.select("node", "place").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, component_id) for every row; component_id is the smallest doc_id."""
-    rooted = _rooted(docs)
-    return rooted.join(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("doc_id", "component_id")
+    marked = written(_marked(docs), "shingles")
+    rooted = _roots(docs, written(nodes_of(marked), "nodes"))
+    least = rooted.groupBy("root").agg(F.min("place.doc_id").alias("component_id"))
+    named = rooted.join(least, "root").select("node", "component_id")
+    return marked.select("doc_id", "node").join(named, "node").select("doc_id", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of each component of links, with all its columns, as told in ``best_of_each``."""
-    return best_of_each(docs, _rooted(docs))
+    return best_of_each(docs, _roots(docs, written(nodes_of(_marked(docs)), "nodes")))

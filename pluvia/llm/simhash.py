@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from pluvia.llm.columnar import add_columns, text_chunks
 from pluvia.llm.components import connected
-from pluvia.llm.shingles import best_of_each, near_duplicates, numbered_rows, shingle_hashes, written
+from pluvia.llm.shingles import best_of_each, keyed_rows, near_duplicates, place, shingle_hashes, written
 
 __all__ = ["near_duplicates", "one_of_each", "op7_simhash"]  # the first is that of the corpus, by similarity
 
@@ -221,8 +221,9 @@ def fingerprint_groups(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of each component, with all its columns, as told in ``best_of_each``."""
-    marked = written(with_fingerprint(numbered_rows(docs), ["doc_id", "_row"]), "fingerprints")
-    return best_of_each(docs, marked.join(components(marked).select("fp", "root"), "fp"))
+    rows = keyed_rows(docs).withColumn("text", F.col("text").cast("string"))
+    marked = written(with_fingerprint(rows, ["doc_id", "one", "two"]), "fingerprints")
+    return best_of_each(docs, marked.join(components(marked).select("fp", "root"), "fp").select("root", place().alias("place")))
 
 
 def op7_simhash(docs: DataFrame) -> DataFrame:

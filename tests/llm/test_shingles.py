@@ -63,3 +63,15 @@ def test_stage_keeps_one_of_each_group_of_similar_texts(spark, monkeypatch, cell
     kept = corpus_pipeline.distinct(spark, docs, "")
     assert sorted(r["doc_id"] for r in kept.collect()) == slow_kept(rows)
     assert corpus_pipeline.distinct(spark, docs.limit(0), "").count() == 0
+
+
+def test_the_same_row_stays_however_rows_are_dealt(spark):
+    """Rows of one doc_id and text that differ in other columns, whole copies, and a null doc_id."""
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(7, text, f"x{k}") for k in range(6)] + [(7, text, "x3"), (None, text, "z"), (9, text + " more", "y"), (8, "other words", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node string")
+    kept = {tuple(sorted(map(tuple, shingles.one_of_each(docs.repartition(n, "node")).collect()))) for n in (1, 3, 7)}
+    (only,) = kept
+    assert len(only) == 2 and only[1][:2] == (8, "other words") and only[0][0] == 7
+    named = sorted(map(tuple, shingles.near_duplicates(docs).collect()), key=repr)
+    assert named == sorted([(7, 7)] * 7 + [(None, 7), (9, 7), (8, 8)], key=repr)
