@@ -164,11 +164,13 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA, bl
     def scores(table: pa.Table, answers: pa.Table) -> pa.Table:
         return score(table, answers, order, alpha)
 
-    asked = dealt.groupBy("block").applyInArrow(question, "slice int, block int, grams binary, counts binary")
-    answers = asked.groupBy("slice").applyInArrow(answer, "slice int, block int, wide boolean, totals binary")
+    # partitions grow with the blocks, so a task has a few blocks or ranges at any size of the table
+    asked = dealt.repartition(blocks, "block").groupBy("block").applyInArrow(question, "slice int, block int, grams binary, counts binary")
+    answers = asked.repartition(blocks, "slice").groupBy("slice").applyInArrow(answer, "slice int, block int, wide boolean, totals binary")
+    texts, totals = dealt.repartition(blocks, "block"), answers.repartition(blocks, "block")
     return (
-        dealt.groupBy("block")
-        .cogroup(answers.groupBy("block"))
+        texts.groupBy("block")
+        .cogroup(totals.groupBy("block"))
         .applyInArrow(scores, "doc_id long, n_words long, log_score double")
     )
 
