@@ -181,3 +181,23 @@ def builtin_sketch(df: DataFrame, key: str, eps: float, confidence: float, seed:
     """Spark's own sketch of the same purpose (another hash, a binary state)."""
     state = F.count_min_sketch(key, F.lit(eps), F.lit(confidence), F.lit(seed))
     return df.agg(state.alias("sketch"), F.count(key).alias("total"))
+
+
+def builtin_cells(rows: DataFrame) -> DataFrame:
+    """(row_id, counted, busiest) of the state of a ``builtin_sketch``: the sum and the largest of each row's cells.
+
+    Every update is in one cell of each row, so ``counted`` is the number of updates in all rows, and no ``busiest`` is
+    below the count of the most frequent key.
+    """
+
+    def number(start: Column, size: int) -> Column:
+        return F.conv(F.hex(F.substring("sketch", start, F.lit(size))), 16, 10).cast("long")
+
+    # fixed format: version 4 bytes, total 8, depth 4, width 4, one hash of 8 bytes a row, then the cells of 8 bytes row by row
+    sized = rows.select("sketch", number(F.lit(13), 4).alias("depth"), number(F.lit(17), 4).alias("width"))
+    first = 21 + 8 * F.col("depth")
+    row = sized.withColumn("row_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("depth") - 1)))
+    cell = row.withColumn("col_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("width") - 1)))
+    at = (first + 8 * (F.col("row_id") * F.col("width") + F.col("col_id"))).cast("int")
+    cells = cell.select("row_id", number(at, 8).alias("cnt"))
+    return cells.groupBy("row_id").agg(F.sum("cnt").alias("counted"), F.max("cnt").alias("busiest"))

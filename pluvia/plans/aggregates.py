@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pluvia.functions.weather import region_code
 from pluvia.operators import aggregates as a
 from pluvia.operators.joins import join_checked
-from pluvia.operators.sketch import Sketch, builtin_sketch
+from pluvia.operators.sketch import Sketch, builtin_cells, builtin_sketch
 from pluvia.plans import common
 from pluvia.plans.projections import REGION_CODE_SQL
 from pluvia.plans.registry import d, day, i, query, ts
@@ -364,10 +364,18 @@ def cms_error_report(t):
 
 @query(
     "cms_builtin",
-    sql(f"SELECT {i('count(*)', 'total')}, {i('count(DISTINCT county)', 'keys')}, count(*) > 0 AS has_sketch FROM readings", "readings"),
+    sql(
+        f"""SELECT {i('sum(n)', 'total')}, {i('count(*)', 'keys')}, {i('sum(n)', 'least_counted')}, {i('sum(n)', 'most_counted')},
+        {i('max(n)', 'most_frequent')} FROM (SELECT county, count(*) AS n FROM readings WHERE county IS NOT NULL GROUP BY county)""",
+        "readings",
+    ),
 )
 def cms_builtin(t):
-    """The built-in sketch of all counties: what it has counted, and that it holds something."""
+    """The built-in sketch of all counties: what it has counted, the least and most that a row of its cells adds up to,
+    and its estimate of the most frequent county."""
     keys = t.readings().agg(F.count_distinct("county")).scalar()
     rows = builtin_sketch(t.readings(), "county", 0.0027, 0.993, 42)
-    return rows.select("total", keys.alias("keys"), (F.length("sketch") > 0).alias("has_sketch"))
+    found = builtin_cells(rows).agg(
+        F.min("counted").alias("least_counted"), F.max("counted").alias("most_counted"), F.min("busiest").alias("most_frequent")
+    )
+    return found.select(rows.select("total").scalar().alias("total"), keys.alias("keys"), "*")
