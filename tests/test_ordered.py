@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -168,3 +169,48 @@ def test_empty_input(spark):
     empty = frame(spark, [])
     assert running(empty, ["k"], ["t"], rows_per_task=1).count() == 0
     assert quantiles(empty, ["k"], "v", {"p": 0.5}).count() == 0
+
+
+def test_what_a_row_meets_does_not_grow_with_the_cuts(spark):
+    """A key of many thousand cuts: every node of their tree is small, and together they hold each cut once."""
+    rows = spark.range(40_000).select(F.lit("a").alias("k"), F.col("id").cast("int").alias("t"), F.col("id").cast("int"))
+    tree = ordered._tree(rows, ["k"], ["t", "id"], 1, 40_000)
+    sizes = [t.agg(F.max(F.size("_o_heads")), F.sum(F.size("_o_heads")), F.count("*")).first() for t in tree]
+    assert len(tree) > 1 and max(s[0] for s in sizes) <= ordered.FANOUT
+    assert sizes[-1][1] == 40_000 // ordered.CELLS and sizes[-1][2] >= 40_000 // ordered.CELLS // ordered.FANOUT
+
+
+@pytest.mark.parametrize("span", [1, 8])
+def test_many_blocks_of_one_key(spark, monkeypatch, span):
+    """40,000 rows in blocks of two, in more pieces than one node of the tree has cuts."""
+    monkeypatch.setattr(ordered, "SPAN", span)
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 100 == 0, None).otherwise("a").alias("k"),
+        F.floor(F.col("id") / 7).cast("int").alias("t"),
+        F.col("id").cast("int"),
+        F.when(F.col("id") % 10 == 9, F.col("id").cast("double")).alias("v"),
+    )
+    keys, order = ["k"], ["t", "id"]
+    started = time.monotonic()
+    lagged = over_rows(rows, keys, order, 5, lambda w: [{"l": F.lag("id", 5).over(w)}], "pos", 2)
+    got = lagged.toPandas().sort_values("id")
+    weighed = running(rows, keys, order, weight="t", name="sum", total="all", rows_per_task=2).toPandas().sort_values("id")
+    filled = fill_next(rows, keys, order, ["v"], 2).toPandas().sort_values("id")
+    assert time.monotonic() - started < 120
+    for null, group in got.groupby(got["k"].isna()):
+        assert len(group) == (400 if null else 39_600) and list(group["pos"]) == list(range(len(group)))
+        assert group["l"][5:].tolist() == group["id"][:-5].tolist() and group["l"][:5].isna().all()
+    for _, group in weighed.groupby(weighed["k"].isna()):
+        assert list(group["sum"]) == list(group["t"].cumsum() - group["t"]) and set(group["all"]) == {group["t"].sum()}
+    for _, group in filled.groupby(filled["k"].isna()):
+        known = group["id"].where(group["id"] % 10 == 9)
+        assert group["v"].fillna(-1).tolist() == known.bfill().fillna(-1).tolist()
+
+
+def test_rows_that_share_their_order(spark):
+    """Repeated rows and rows of one instant, told apart by a hash of the row: none is lost or doubled."""
+    data = [("a", i // 50, 0, float(i % 50 // 2)) for i in range(1000)]
+    out = over_rows(frame(spark, data), ["k"], ["t", "id"], 3, lambda w: [{"l": F.lag("v", 3).over(w)}], "pos", SPLIT)
+    got = out.toPandas()
+    assert sorted(got["pos"]) == list(range(1000))
+    assert sorted(zip(got["t"], got["v"])) == sorted((t, v) for _, t, _, v in data)
