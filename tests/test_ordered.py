@@ -214,3 +214,27 @@ def test_rows_that_share_their_order(spark):
     got = out.toPandas()
     assert sorted(got["pos"]) == list(range(1000))
     assert sorted(zip(got["t"], got["v"])) == sorted((t, v) for _, t, _, v in data)
+
+
+SERIES = (["county"], ["event_time", "reading_id"])
+MANY_BLOCKS = {
+    "fill_next": lambda rows, limit: fill_next(rows, *SERIES, ["humidity"], limit),
+}
+
+
+@pytest.mark.parametrize("operator", MANY_BLOCKS)
+def test_many_blocks_equal_the_plain_window(spark, operator):
+    """30,000 rows of one county and some of none, in blocks of three, in a time that does not grow with rows times cuts."""
+    number = F.col("id")
+    rows = spark.range(30_000).select(
+        F.when(number % 50 == 0, None).otherwise("Kitui").alias("county"),
+        F.timestamp_seconds(F.floor(number / 7)).alias("event_time"),
+        number.alias("reading_id"),
+        F.when(F.floor(number / 500) % 3 == 0, 0.0).otherwise((1 + number % 29) * 0.02).alias("precipitation"),
+        F.when(number % 40 == 39, number.cast("double")).alias("humidity"),
+    )
+    plain = sorted(map(tuple, MANY_BLOCKS[operator](rows, PLAIN).collect()), key=repr)
+    started = time.monotonic()
+    split = sorted(map(tuple, MANY_BLOCKS[operator](rows, 3).collect()), key=repr)
+    assert time.monotonic() - started < 60
+    assert plain and split == plain
