@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pluvia.operators import ordered
 from pluvia.operators.ordered import BLOCK, fill_next, over_rows, quantiles, running
+from pluvia.operators.windows import row_lags
 
 PLAIN, SPLIT = 10**9, 7
 
@@ -219,6 +220,7 @@ def test_rows_that_share_their_order(spark):
 SERIES = (["county"], ["event_time", "reading_id"])
 MANY_BLOCKS = {
     "fill_next": lambda rows, limit: fill_next(rows, *SERIES, ["humidity"], limit),
+    "row_lags": lambda rows, limit: row_lags(rows, *SERIES, "humidity", rows_per_task=limit),
 }
 
 
