@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pluvia.operators import ordered
 from pluvia.operators.ml import chrono_split
+from pluvia.operators.onset import onset_by_rows
 from pluvia.operators.ordered import BLOCK, fill_next, over_rows, quantiles, running
 from pluvia.operators.windows import row_lags
 
@@ -223,6 +224,7 @@ MANY_BLOCKS = {
     "fill_next": lambda rows, limit: fill_next(rows, *SERIES, ["humidity"], limit),
     "row_lags": lambda rows, limit: row_lags(rows, *SERIES, "humidity", rows_per_task=limit),
     "chrono_split": lambda rows, limit: chrono_split(rows, *SERIES, rows_per_task=limit),
+    "onset_by_rows": lambda rows, limit: onset_by_rows(rows, 14.0, rows_per_task=limit),
 }
 
 
