@@ -75,3 +75,65 @@ def test_the_same_row_stays_however_rows_are_dealt(spark):
     assert len(only) == 2 and only[1][:2] == (8, "other words") and only[0][0] == 7
     named = sorted(map(tuple, shingles.near_duplicates(docs).collect()), key=repr)
     assert named == sorted([(7, 7)] * 7 + [(None, 7), (9, 7), (8, 8)], key=repr)
+
+
+def lead_of(hashes, heavy):
+    return set(sorted(hashes.tolist(), key=lambda h: (h in heavy, h))[: len(hashes) + 1 + -4 * len(hashes) // 5])
+
+
+# eight words, and a ninth that makes one of five shingles, so the similarity is 0.8; found by search
+NO_BAND = [
+    ("w267 w2589 w66 w1624 w241 w899 w1443 w1268", "w588554"),
+    ("w659 w2565 w2002 w2583 w2520 w2629 w931 w1415", "w876664"),
+    ("w1852 w822 w2758 w21 w2514 w1937 w760 w2159", "w820667"),
+]
+
+
+def test_similar_texts_without_a_shared_band_are_linked(spark):
+    texts = [t for text, more in NO_BAND for t in (text, f"{text} {more}")]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    keys = shingles.bands(*shingles.sets(data, np.cumsum([0, *map(len, texts)])))
+    assert not (keys[::2] == keys[1::2]).any()
+    rows = [*enumerate(texts), (6, texts[0].upper()), (7, "w0 " + texts[4]), (8, texts[0] + " x y z")]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert sorted(r["doc_id"] for r in shingles.one_of_each(docs).collect()) == slow_kept(rows) == [0, 2, 4, 8]
+    named = {r["doc_id"]: r["component_id"] for r in shingles.near_duplicates(docs).collect()}
+    assert named == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4, 6: 0, 7: 4, 8: 8}
+
+
+def test_the_exact_pass_alone_finds_every_link(spark, monkeypatch):
+    monkeypatch.setattr(shingles, "CELL", 20)
+    monkeypatch.setattr(shingles, "HEAVY", 30)
+    monkeypatch.setattr(shingles, "candidates", lambda nodes: spark.createDataFrame([], "u long, v long"))
+    rows = list(enumerate(planted()))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    assert sorted(r["doc_id"] for r in shingles.one_of_each(docs).collect()) == slow_kept(rows)
+
+
+def test_leads_meet_and_marks_never_part_linked_sets():
+    turn = np.random.default_rng(5)
+    sizes = turn.integers(1, 3000, 60)
+    both = [turn.integers(0, 1 << 64, n, np.uint64) for n in sizes]
+    shares = (0, 0.1), (0.09, 0)  # left out and put in
+    sides = [
+        [np.unique(np.append(x[round(len(x) * less) :], turn.integers(0, 1 << 64, round(len(x) * more), np.uint64))) for less, more in shares]
+        for x in both
+    ]
+    flat = [x for pair in sides for x in pair]
+    hashes, bounds = np.concatenate(flat), np.append(0, np.cumsum([len(x) for x in flat]))
+    heavy = turn.choice(hashes, 500)
+    first, many = shingles.lead(hashes, bounds, heavy)
+    leads = [set(x.tolist()) for x in np.split(first, np.cumsum(many)[:-1])]
+    assert leads == [lead_of(x, set(heavy.tolist())) for x in flat]
+    bits = shingles.own_bits(np.diff(bounds))
+    own = np.split(shingles.marks(hashes, bounds, bits), np.cumsum(bits // 8)[:-1])
+    even = shingles.even_marks(hashes, bounds, 512)
+    for k in range(0, len(flat), 2):
+        a, b = set(flat[k].tolist()), set(flat[k + 1].tolist())
+        apart = len(a ^ b)
+        assert int(np.bitwise_count(even[k] ^ even[k + 1]).sum()) <= apart
+        assert shingles._differ(own[k].tobytes(), own[k + 1].tobytes()) <= apart
+        linked = len(a & b) / len(a | b) >= 0.8
+        assert linked == bool(shingles.reachable(np.array([apart]), np.array([len(a)]), np.array([len(b)]))[0])
+        assert leads[k] & leads[k + 1] or not linked
+    assert shingles.reachable(np.array([0, 1]), np.array([4, 4]), np.array([5, 6])).tolist() == [True, False]
